@@ -20,3 +20,8 @@ def _dim_dates(t):
 def _dim_pages(t):
     # the surrogate key is a hash; leave it out of the comparable result
     return t.dim_pages.drop("page_id")
+
+from webstats.plans.queries import STORED  # noqa: E402
+
+for _name, _fn in STORED.items():
+    register(_name, _fn)
