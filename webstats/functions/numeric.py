@@ -62,3 +62,8 @@ def sum_if(cond: Column, value, otherwise=0) -> Column:
     if otherwise is not None:
         w = w.otherwise(F.lit(otherwise))
     return F.sum(w).cast("long")
+
+
+def py_round(x, digits: int = 0) -> Column:
+    """pandas / Python ``round``: half to even, on the shortest decimal text of the value."""
+    return F.bround(_c(x).cast("double").cast(_DEC), digits).cast("double")

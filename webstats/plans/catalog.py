@@ -25,3 +25,8 @@ from webstats.plans.queries import STORED  # noqa: E402
 
 for _name, _fn in STORED.items():
     register(_name, _fn)
+
+from webstats.plans.datasets import DATASETS  # noqa: E402
+
+for _name, _fn in DATASETS.items():
+    register(_name, _fn)
