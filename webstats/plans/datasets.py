@@ -74,14 +74,19 @@ def default_period(t, start=None, end=None):
 # ---- traffic page ----------------------------------------------------------------
 
 def traffic_kpis(t, start=None, end=None, channels=None) -> DataFrame:
-    """D-01: current vs previous equal-length period over vw_traffic, one pass."""
-    s, e = default_period(t, start, end)
-    days = F.datediff(e, s) + 1
-    prev_s, prev_e = F.date_sub(s, days), F.date_sub(s, 1)
+    """D-01: current vs previous equal-length period over vw_traffic, one pass.
+
+    With explicit dates the bounds are literals (pushed to the scan); by
+    default they are anchored on the data's last day, a scalar subquery bound
+    once as a column so it runs once.
+    """
     v = apply_filters(V.vw_traffic(t), channels=channels)
-    v = v.where(F.col("session_date").between(prev_s, e))
-    cur = F.col("session_date").between(s, e)
-    prv = F.col("session_date").between(prev_s, prev_e)
+    v = v.withColumn("_end", _d(end) if end is not None else _latest_date(t))
+    v = v.withColumn("_start", _d(start) if start is not None else F.date_sub(F.col("_end"), 29))
+    days = F.datediff(F.col("_end"), F.col("_start")) + 1
+    sd = F.col("session_date")
+    cur = sd.between(F.col("_start"), F.col("_end"))
+    prv = sd.between(F.date_sub(F.col("_start"), days), F.date_sub(F.col("_start"), 1))
 
     def tot(c, cond):
         return F.coalesce(F.sum(F.when(cond, F.col(c))), F.lit(0)).cast("long")
@@ -133,16 +138,15 @@ def newret_chart(t) -> DataFrame:
 # ---- behavior page ---------------------------------------------------------------
 
 def behavior_kpis(t) -> DataFrame:
-    """D-06: four KPIs, each a one-row aggregate; combined as scalar subqueries."""
-    req = V.vw_top_pages(t).agg(sum_long("total_requests")).scalar()
+    """D-06: four KPIs; the first is the base aggregate, the rest scalar subqueries."""
+    base = V.vw_top_pages(t).agg(F.coalesce(sum_long("total_requests"), F.lit(0)).alias("total_page_views"))
     avg_t = t.ga4.agg(pg_round(F.avg("session_duration_s"), 1)).scalar()
     scroll = V.vw_scroll_depth(t).agg(pg_round(F.avg("avg_scroll_depth_pct"), 4)).scalar()
     events = V.vw_engagement_events(t).agg(sum_long("total_events")).scalar()
-    return t.spark.range(1).select(
-        F.coalesce(req, F.lit(0)).alias("total_page_views"),
-        F.coalesce(avg_t, F.lit(0.0)).alias("avg_time_on_page_s"),
-        F.coalesce(scroll, F.lit(0.0)).alias("avg_scroll_depth_pct"),
-        F.coalesce(events, F.lit(0)).alias("total_events"))
+    return base.select("total_page_views",
+                       F.coalesce(avg_t, F.lit(0.0)).alias("avg_time_on_page_s"),
+                       F.coalesce(scroll, F.lit(0.0)).alias("avg_scroll_depth_pct"),
+                       F.coalesce(events, F.lit(0)).alias("total_events"))
 
 
 def page_filtered_views(t, pattern: str = "/blog") -> DataFrame:
@@ -219,10 +223,11 @@ def engagement_top10(t) -> DataFrame:
 
     def nz(c):
         return F.when(c == 0, F.lit(1)).otherwise(c)
-    score = ((F.coalesce(F.col("avg_scroll_depth_pct"), F.lit(0.0)) / nz(mx["s"])) * 0.4
-             + (F.col("total_events") / nz(mx["e"])) * 0.3
-             + (F.lit(1.0) - F.col("avg_response_ms") / nz(mx["r"])) * 0.3)
-    s = b.select("page", "total_requests", py_round(score, 4).alias("score")).where(F.col("score").isNotNull())
+    score = ((F.coalesce(F.col("avg_scroll_depth_pct"), F.lit(0.0)) / nz(F.col("_mx.s"))) * 0.4
+             + (F.col("total_events") / nz(F.col("_mx.e"))) * 0.3
+             + (F.lit(1.0) - F.col("avg_response_ms") / nz(F.col("_mx.r"))) * 0.3)
+    s = (b.withColumn("_mx", mx)
+         .select("page", "total_requests", py_round(score, 4).alias("score")).where(F.col("score").isNotNull()))
     return top_n(s, 10, F.col("score").desc(), F.col("total_requests").desc(), F.col("page").asc()) \
         .select("page", "score")
 
@@ -341,12 +346,11 @@ def completions_by_weekday(t, start=None, end=None, channels=None) -> DataFrame:
 
 def seo_kpis(t) -> DataFrame:
     """D-23."""
-    s = V.vw_seo(t)
-    org = s.agg(F.struct(sum_long("organic_sessions").alias("o"), pg_round(F.avg("word_count"), 0).alias("w"),
-                         count_if(F.col("missing_meta_description")).alias("m")).alias("x")).scalar()
     load = t.scrape.where(F.col("http_status") == 200).agg(pg_round(F.avg("load_time_ms"), 0)).scalar()
-    return t.spark.range(1).select(org["o"].alias("total_organic_sessions"), org["w"].alias("avg_word_count"),
-                                   org["m"].alias("missing_meta"), load.alias("avg_load_ms"))
+    return V.vw_seo(t).agg(
+        sum_long("organic_sessions").alias("total_organic_sessions"),
+        pg_round(F.avg("word_count"), 0).alias("avg_word_count"),
+        count_if(F.col("missing_meta_description")).alias("missing_meta")).withColumn("avg_load_ms", load)
 
 
 def _organic_points(t) -> DataFrame:
@@ -437,24 +441,24 @@ def external_link_histogram(t, bins: int = 15) -> DataFrame:
     """D-29: equal-width histogram of external links (the maximum falls in the last bin)."""
     ln = _links(t).where(F.col("external_links").isNotNull())
     mm = ln.agg(F.struct(F.min("external_links").alias("lo"), F.max("external_links").alias("hi")).alias("m")).scalar()
-    lo, hi = mm["lo"].cast("double"), mm["hi"].cast("double")
+    ln = ln.withColumn("_mm", mm)
+    lo, hi = F.col("_mm.lo").cast("double"), F.col("_mm.hi").cast("double")
     width = (hi - lo) / bins
     b = F.when(hi == lo, F.lit(1)).otherwise(
         F.least(F.floor((F.col("external_links") - lo) * bins / (hi - lo)) + 1, F.lit(bins))).cast("int")
-    g = ln.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("pages"))
+    g = ln.groupBy(b.alias("bin"), F.col("_mm")).agg(F.count(F.lit(1)).alias("pages"))
     return g.select("bin", pg_round(lo + (F.col("bin") - 1) * width, 6).alias("bin_start"),
                     pg_round(lo + F.col("bin") * width, 6).alias("bin_end"), "pages")
 
 
 def platform_stats(t) -> DataFrame:
-    """D-30: table sizes and the GA4 date range, as scalar subqueries in one row."""
-    g = t.ga4.agg(F.struct(F.count(F.lit(1)).alias("n"), F.min("session_date").alias("lo"),
-                           F.max("session_date").alias("hi")).alias("g")).scalar()
+    """D-30: table sizes and the GA4 date range in one row."""
     logs = t.logs.agg(F.count(F.lit(1))).scalar()
     clicks = t.clicks.agg(F.count(F.lit(1))).scalar()
-    return t.spark.range(1).select(g["n"].alias("ga4_sessions"), logs.alias("server_log_entries"),
-                                   clicks.alias("clickstream_events"), g["lo"].alias("first_date"),
-                                   g["hi"].alias("last_date"))
+    return t.ga4.agg(F.count(F.lit(1)).alias("ga4_sessions"), F.min("session_date").alias("first_date"),
+                     F.max("session_date").alias("last_date")) \
+        .select("ga4_sessions", logs.alias("server_log_entries"), clicks.alias("clickstream_events"),
+                "first_date", "last_date")
 
 
 DATASETS = {
