@@ -30,3 +30,8 @@ from webstats.plans.datasets import DATASETS  # noqa: E402
 
 for _name, _fn in DATASETS.items():
     register(_name, _fn)
+
+from webstats.operators.quality import QUALITY  # noqa: E402
+
+for _name, _fn in QUALITY.items():
+    register(_name, _fn)

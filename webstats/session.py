@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 # join partition (one key holding a third of the rows) into several tasks.
 BASE_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
