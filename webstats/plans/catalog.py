@@ -35,3 +35,9 @@ from webstats.operators.quality import QUALITY  # noqa: E402
 
 for _name, _fn in QUALITY.items():
     register(_name, _fn)
+
+from webstats.operators.sqlaudit import SQLAUDIT  # noqa: E402
+from webstats.plans.reports import REPORTS  # noqa: E402
+
+for _name, _fn in {**SQLAUDIT, **REPORTS}.items():
+    register(_name, _fn)
