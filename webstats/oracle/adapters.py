@@ -49,7 +49,12 @@ CTES["ev"] = """
 """
 
 CTES["raw_server_logs"] = """
-  SELECT ts AS log_time,
+  SELECT log_time, ip_address, method, url, status_code, response_bytes, response_time_ms, user_agent
+  FROM logs_keyed
+"""
+
+CTES["logs_keyed"] = """
+  SELECT event_id, ts AS log_time,
          concat('10.0.', CAST(user_id % 4 AS VARCHAR), '.', CAST(user_id AS VARCHAR)) AS ip_address,
          CASE WHEN event_id % 100 < 85 THEN 'GET' ELSE 'POST' END AS method,
          CASE k % 10 WHEN 0 THEN '/' WHEN 1 THEN '/about' WHEN 2 THEN '/products' WHEN 3 THEN '/contact'
@@ -73,7 +78,12 @@ CTES["raw_server_logs"] = """
 """
 
 CTES["raw_clickstream_events"] = """
-  SELECT ts AS event_time,
+  SELECT event_time, session_id, user_pseudo_id, event_name, page_url, scroll_depth_pct, device_category
+  FROM clicks_keyed WHERE _et <> 'purchase'
+"""
+
+CTES["clicks_keyed"] = """
+  SELECT event_id, event_type AS _et, ts AS event_time,
          concat(CAST(user_id AS VARCHAR), '-', CAST(CAST(ts AS DATE) AS VARCHAR)) AS session_id,
          CAST(user_id AS VARCHAR) AS user_pseudo_id,
          CASE event_type WHEN 'view' THEN 'pageview' WHEN 'click' THEN 'click' WHEN 'signup' THEN 'form_submit'
@@ -84,7 +94,7 @@ CTES["raw_clickstream_events"] = """
          CASE WHEN event_type = 'error' THEN CAST(event_id % 101 AS INT) END AS scroll_depth_pct,
          CASE WHEN user_id % 20 < 11 THEN 'desktop' WHEN user_id % 20 < 18 THEN 'mobile'
               ELSE 'tablet' END AS device_category
-  FROM ev WHERE event_type <> 'purchase'
+  FROM ev
 """
 
 _SCRAPE_ONE = """

@@ -41,3 +41,8 @@ from webstats.plans.reports import REPORTS  # noqa: E402
 
 for _name, _fn in {**SQLAUDIT, **REPORTS}.items():
     register(_name, _fn)
+
+from webstats.operators.ingest import INGEST  # noqa: E402
+
+for _name, _fn in INGEST.items():
+    register(_name, _fn)

@@ -143,9 +143,14 @@ class Tables:
     @cached_property
     def logs(self) -> DataFrame:
         """raw_server_logs: one request per event."""
+        return self._logs_keyed.drop("event_id")
+
+    @cached_property
+    def _logs_keyed(self) -> DataFrame:
         ev = self._ev
         k, eid, et = F.col("k"), F.col("event_id"), F.col("event_type")
         return ev.select(
+            "event_id",
             F.col("ts").alias("log_time"),
             F.concat(F.lit("10.0."), (F.col("user_id") % 4).cast("string"), F.lit("."),
                      F.col("user_id").cast("string")).alias("ip_address"),
@@ -162,9 +167,15 @@ class Tables:
     @cached_property
     def clicks(self) -> DataFrame:
         """raw_clickstream_events: events except purchases."""
-        ev = self._ev.filter(F.col("event_type") != "purchase")
+        return self._clicks_keyed.where(F.col("_et") != "purchase").drop("event_id", "_et")
+
+    @cached_property
+    def _clicks_keyed(self) -> DataFrame:
+        """Every event with its click-stream columns; purchases get a NULL event name."""
+        ev = self._ev
         et = F.col("event_type")
         return ev.select(
+            "event_id", et.alias("_et"),
             F.col("ts").alias("event_time"),
             F.concat(F.col("user_id").cast("string"), F.lit("-"),
                      F.col("ts").cast("date").cast("string")).alias("session_id"),
