@@ -51,3 +51,16 @@ from webstats.plans.detection import DETECTION  # noqa: E402
 
 for _name, _fn in DETECTION.items():
     register(_name, _fn)
+
+from webstats.streaming.jobs import STREAMS  # noqa: E402
+
+
+def _stream_query(fn):
+    def run(t):
+        return fn(t.spark, t.sf_dir)
+    run.__name__ = fn.__name__
+    return run
+
+
+for _name, _fn in STREAMS.items():
+    register(_name, _stream_query(_fn))
