@@ -59,3 +59,17 @@ def test_traffic_calendar_fallback(tables):
 def test_views_are_lazy_and_pruned(tables):
     plan = V.vw_daily_traffic(tables)._jdf.queryExecution().executedPlan().toString()
     assert "o_orderpriority" not in plan   # column pruning reaches the orders scan
+
+
+def test_built_tables_conform_to_schemas(tables):
+    from webstats.schemas import SCHEMAS, conform
+    built = {"raw_ga4_sessions": tables.ga4, "raw_server_logs": tables.logs, "raw_scrape_pages": tables.scrape,
+             "raw_clickstream_events": tables.clicks, "dim_pages": tables.dim_pages, "dim_dates": tables.dim_dates,
+             "fct_sessions": tables.fct_sessions, "fct_events": tables.fct_events}
+    for name, df in built.items():
+        c = conform(df, name)
+        assert c.columns == [f.name for f in SCHEMAS[name].fields]
+        # every column the builder produces survives the cast (no silent NULLs)
+        for col in set(df.columns) & set(c.columns):
+            lost = c.where(c[col].isNull()).count() - df.where(df[col].isNull()).count()
+            assert lost == 0, (name, col)

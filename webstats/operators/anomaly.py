@@ -237,12 +237,13 @@ class ForestModel:
 def fit(feats: DataFrame, features: list[str], contamination: float = 0.05, seed: int = 42, n_trees: int = 100,
         max_samples: int = 256, group_cols: list[str] | None = None) -> ForestModel:
     """M-02: train and fix the decision offset on the training rows."""
-    nodes = train_isolation_forest(feats, features, n_trees, max_samples, seed, group_cols).cache()
+    # the forest is small and costly to regrow: cut its lineage into the shared checkpoint folder
+    nodes = train_isolation_forest(feats, features, n_trees, max_samples, seed, group_cols).checkpoint(eager=True)
     model = ForestModel(nodes, features, contamination, seed, group_cols)
     scored = score_samples(feats, model)
     q = F.percentile(F.col("score_samples"), contamination)
     if group_cols:
-        model.offset = scored.groupBy(*group_cols).agg(q.alias("_offset")).cache()
+        model.offset = scored.groupBy(*group_cols).agg(q.alias("_offset")).checkpoint(eager=True)
     else:
         model.offset = float(scored.agg(q).first()[0])
     return model
