@@ -32,19 +32,40 @@ def _source(t: Tables, name: str) -> DataFrame:
             "fct_sessions": t.fct_sessions, "fct_events": t.fct_events}[name]
 
 
-def materialize(t: Tables, root: str, tables=LAYER) -> str:
-    """Write the layer under ``root`` (one overwrite job per table)."""
+_DATE_OF = {"raw_ga4_sessions": "session_date", "raw_server_logs": "log_time",
+            "raw_clickstream_events": "event_time", "fct_sessions": "date_id", "fct_events": "event_time"}
+
+
+def _day(df: DataFrame, name: str):
+    c = F.col(_DATE_OF[name])
+    if name == "fct_sessions":
+        return F.to_date(c.cast("string"), "yyyyMMdd")
+    return c.cast("date")
+
+
+def materialize(t: Tables, root: str, tables=LAYER, grain: str = "day") -> str:
+    """Write the layer under ``root`` (one overwrite job per table).
+
+    ``grain="day"`` partitions dated tables by day (the layout for large data:
+    a day of a 100 TB layer is tens of GB); ``grain="month"`` partitions by
+    month for small data, where day directories would hold a handful of rows.
+    Rows are sorted by day inside each partition either way, so Parquet
+    row-group statistics let a day filter skip the rest of a month.
+    """
     for name in tables:
         df = conform(_source(t, name), name)
         part = PARTITION_BY.get(name)
-        if part == "log_date":
-            df = df.withColumn(part, F.col("log_time").cast("date"))
-        elif part == "event_date":
-            df = df.withColumn(part, F.col("event_time").cast("date"))
-        w = (df.hint("rebalance", part) if part else df.hint("rebalance")).write.mode("overwrite")
         if part:
-            w = w.partitionBy(part)
-        w.parquet(os.path.join(root, name))
+            day = _day(df, name)
+            if grain == "month":
+                part = "part_month"
+                df = df.withColumn(part, F.date_format(day, "yyyy-MM"))
+            elif part not in df.columns:
+                df = df.withColumn(part, day)
+            df = df.hint("rebalance", part).sortWithinPartitions(part, day)
+            df.write.mode("overwrite").partitionBy(part).parquet(os.path.join(root, name))
+        else:
+            df.hint("rebalance").write.mode("overwrite").parquet(os.path.join(root, name))
     return root
 
 
@@ -57,7 +78,7 @@ class WarehouseTables(Tables):
 
     def _t(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(os.path.join(self.root, name))
-        return df.drop(*[c for c in ("log_date", "event_date") if c in df.columns])
+        return df.drop(*[c for c in ("log_date", "event_date", "part_month") if c in df.columns])
 
     @cached_property
     def ga4(self) -> DataFrame:
