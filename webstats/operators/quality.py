@@ -43,20 +43,26 @@ def _rows(df: DataFrame, specs: list[tuple]) -> DataFrame:
 
 
 def table_report(name: str, df: DataFrame) -> DataFrame:
+    """All checks of one table from a single scan.
+
+    Rows are grouped by the duplicate-check key (partially aggregated
+    map-side, so a hot key is combined before the shuffle); the per-key
+    partial counts, NULL counts and date bounds are then folded into one row.
+    """
     date_col, keys, null_cols = RAW_CHECKS[name]
-    aggs = [F.count(F.lit(1)).alias("_rows"),
-            F.min(F.col(date_col)).cast("date").alias("_lo"), F.max(F.col(date_col)).cast("date").alias("_hi")]
-    aggs += [count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in null_cols]
-    one = df.agg(*aggs)
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_c"), F.min(F.col(date_col)).alias("_lo"), F.max(F.col(date_col)).alias("_hi"),
+        *[count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in null_cols])
+    one = per_key.agg(
+        F.sum("_c").alias("_rows"), F.min("_lo").cast("date").alias("_lo"), F.max("_hi").cast("date").alias("_hi"),
+        count_if(F.col("_c") > 1).alias("_dups"),
+        *[F.sum(f"_null_{c}").alias(f"_null_{c}") for c in null_cols])
     specs = [("row_count", None, F.col("_rows"), F.lit(True)),
              ("min_date", None, F.col("_lo"), F.lit(True)),
              ("max_date", None, F.col("_hi"), F.lit(True))]
     specs += [("null_count", c, F.col(f"_null_{c}"), F.col(f"_null_{c}") == 0) for c in null_cols]
-    dups = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1)
-            .agg(F.count(F.lit(1)).alias("_dups")))
-    out = _rows(one, specs).unionByName(
-        _rows(dups, [("duplicate_keys", ",".join(keys), F.col("_dups"), F.col("_dups") == 0)]))
-    return out.select(F.lit(name).alias("table_name"), "*")
+    specs += [("duplicate_keys", ",".join(keys), F.col("_dups"), F.col("_dups") == 0)]
+    return _rows(one, specs).select(F.lit(name).alias("table_name"), "*")
 
 
 def dq_report(t) -> DataFrame:

@@ -184,7 +184,7 @@ def vw_traffic_by_hour(t) -> DataFrame:
         pg_round(F.avg("response_time_ms"), 2).alias("avg_response_time_ms"),
         count_if(sc >= 400).alias("error_requests"),
         pct(count_if(sc >= 400), F.count(F.lit(1)), 2).alias("error_rate_pct"))
-    return g.withColumn("traffic_rank", F.rank().over(Window.orderBy(F.col("total_requests").desc())))
+    return g.withColumn("traffic_rank", F.rank().over(Window.orderBy(F.col("total_requests").desc())).cast("long"))
 
 
 def vw_user_agents(t) -> DataFrame:
