@@ -97,7 +97,14 @@ def _one(df: DataFrame, section: str, items: list[tuple]) -> DataFrame:
 
 def _ranked(df: DataFrame, section: str, item: Column, count: Column, order: list[Column], n: int | None,
             num: Column | None = None) -> DataFrame:
-    """Grouped rows ranked by ``order``; the window runs over an aggregated (bounded) frame."""
+    """Grouped rows ranked by ``order``.
+
+    With ``n`` the top n rows are taken first (per-partition top-k + merge), so
+    the numbering window only ever sees n rows, however many groups exist;
+    without ``n`` the frame is a small dimension (status codes, event names).
+    """
+    if n is not None:
+        df = df.orderBy(*order).limit(n)
     g = df.select(item.cast("string").alias("item"), count.cast("long").alias("count_value"),
                   (num if num is not None else F.lit(None)).cast("double").alias("num_value"),
                   F.row_number().over(Window.orderBy(*order)).cast("int").alias("rank"))

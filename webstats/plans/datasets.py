@@ -165,12 +165,18 @@ def click_funnel(t) -> DataFrame:
     """D-09: distinct sessions per (independent) stage, one aggregate pass."""
     e, p = F.col("event_name"), F.col("page_url")
     prod = p.isin("/products/", "/pricing/")
-    sid = F.col("session_id")
-    a = t.clicks.agg(
-        F.count_distinct(F.when((e == "pageview") & (p == "/"), sid)).alias("homepage"),
-        F.count_distinct(F.when((e == "pageview") & prod, sid)).alias("product_page"),
-        F.count_distinct(F.when((e == "click") & prod, sid)).alias("add_to_cart"),
-        F.count_distinct(F.when(e == "form_submit", sid)).alias("checkout"))
+    stages = F.filter(F.array(
+        F.when((e == "pageview") & (p == "/"), F.lit("homepage")),
+        F.when((e == "pageview") & prod, F.lit("product_page")),
+        F.when((e == "click") & prod, F.lit("add_to_cart")),
+        F.when(e == "form_submit", F.lit("checkout"))), lambda x: x.isNotNull())
+    # each event is routed only to the stages it qualifies for, then (stage, session) pairs are
+    # de-duplicated with partial aggregation -- no 4x expansion of every event
+    pairs = (t.clicks.where(F.col("session_id").isNotNull())
+             .select(F.explode(stages).alias("stage"), "session_id").distinct())
+    n = pairs.groupBy("stage").agg(F.count(F.lit(1)).alias("n"))
+    a = n.agg(*[F.coalesce(F.sum(F.when(F.col("stage") == s, F.col("n"))), F.lit(0)).alias(s)
+                for s in ("homepage", "product_page", "add_to_cart", "checkout")])
     return a.withColumn("purchase", F.round(F.col("checkout") * F.lit("0.35").cast("decimal(3,2)"), 0).cast("long"))
 
 
