@@ -57,4 +57,4 @@ def test_matches_oracle(spark, con, key):
 def test_every_key_runs_or_has_oracle():
     qs = E.queries()
     assert set(ORACLE) <= set(qs)
-    assert len(qs) >= 120
+    assert len(qs) >= 150

@@ -232,10 +232,11 @@ def engagement_top10(t) -> DataFrame:
     score = ((F.coalesce(F.col("avg_scroll_depth_pct"), F.lit(0.0)) / nz(F.col("_mx.s"))) * 0.4
              + (F.col("total_events") / nz(F.col("_mx.e"))) * 0.3
              + (F.lit(1.0) - F.col("avg_response_ms") / nz(F.col("_mx.r"))) * 0.3)
-    s = (b.withColumn("_mx", mx)
-         .select("page", "total_requests", py_round(score, 4).alias("score")).where(F.col("score").isNotNull()))
-    return top_n(s, 10, F.col("score").desc(), F.col("total_requests").desc(), F.col("page").asc()) \
-        .select("page", "score")
+    s = b.withColumn("_mx", mx).select("page", "total_requests", py_round(score, 4).alias("score"))
+    # NULL scores sort last, so dropping them after the top-10 equals pandas' nlargest; filtering
+    # after the limit also keeps the optimizer from copying the scalar subquery into a pushed filter
+    top = top_n(s, 10, F.col("score").desc_nulls_last(), F.col("total_requests").desc(), F.col("page").asc())
+    return top.where(F.col("score").isNotNull()).select("page", "score")
 
 
 def daily_requests(t, pattern: str | None = None) -> DataFrame:
