@@ -485,3 +485,43 @@ DATASETS = {
     "load_time_stats": load_time_stats, "link_analysis": link_analysis,
     "external_link_histogram": external_link_histogram, "platform_stats": platform_stats,
 }
+
+
+# ---- parameterised variants the pages use (P-01 / P-02 paths) ------------------------
+
+def page_filtered_top_pages(t, pattern: str = "/blog"):
+    """D-07 on vw_top_pages (case-insensitive regex on url)."""
+    return apply_filters(V.vw_top_pages(t), page_search=pattern)
+
+
+def page_filtered_scroll(t, pattern: str = "/blog"):
+    """D-07 on vw_scroll_depth (page_url)."""
+    return apply_filters(V.vw_scroll_depth(t), page_search=pattern)
+
+
+def page_filtered_engagement(t, pattern: str = "/blog"):
+    """D-07 on vw_engagement_events (page_url)."""
+    return apply_filters(V.vw_engagement_events(t), page_search=pattern)
+
+
+def daily_requests_for_page(t, pattern: str = "blog"):
+    """D-14 with the URL pattern set (ILIKE '%pattern%')."""
+    return daily_requests(t, pattern)
+
+
+def organic_pages_matching(t, pattern: str = "EXAMPLE.com/en"):
+    """D-25 with the page filter set (ILIKE)."""
+    return organic_pages(t, pattern)
+
+
+def traffic_filtered_channels(t, start: str = "1997-01-01", end: str = "1998-06-30",
+                              channels=("Email", "Social", "Paid Search")):
+    """D-03 with a date range and a channel selection."""
+    return traffic_filtered(t, start, end, list(channels))
+
+
+DATASETS.update({
+    "page_filtered_top_pages": page_filtered_top_pages, "page_filtered_scroll": page_filtered_scroll,
+    "page_filtered_engagement": page_filtered_engagement, "daily_requests_for_page": daily_requests_for_page,
+    "organic_pages_matching": organic_pages_matching, "traffic_filtered_channels": traffic_filtered_channels,
+})
