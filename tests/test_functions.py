@@ -142,3 +142,11 @@ def test_formats(spark):
         "2m 5s", "45s", "1h 2m", "—"]
     df = spark.createDataFrame([(110.0, 100.0), (5.0, 0.0)], "c double, p double")
     assert [r[0] for r in df.select(W.pct_delta("c", "p")).collect()] == ["+10.0%", None]
+
+
+def test_cluster_conf_sizes_partitions():
+    from webstats.session import cluster_conf
+    c = cluster_conf(100, 8000)
+    assert c["spark.sql.shuffle.partitions"] == "50000" and c["spark.sql.files.maxPartitionBytes"] == "256m"
+    small = cluster_conf(0.001, 8)
+    assert small["spark.sql.shuffle.partitions"] == "24"

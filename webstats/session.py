@@ -48,6 +48,29 @@ def build_session(master: str | None = None, app: str = "webstats",
     return spark
 
 
+def cluster_conf(input_tb: float, total_cores: int, target_partition_mb: int = 256,
+                 max_shuffle_partitions: int = 50_000) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_tb`` terabytes of Parquet.
+
+    Scan splits of ``target_partition_mb`` keep a task's input in memory; the
+    initial shuffle partition count is sized so the widest shuffle (roughly the
+    input of the raw-table aggregates) lands near the same size per partition,
+    at least three waves of tasks over all cores, and capped so the number of
+    shuffle blocks (map tasks x reduce partitions) stays manageable. AQE then
+    coalesces small partitions and splits skewed ones at run time.
+    """
+    want = int(input_tb * 1024 * 1024 / target_partition_mb)
+    shuffle_parts = max(3 * total_cores, min(want, max_shuffle_partitions))
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle_parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * target_partition_mb}m",
+        "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
