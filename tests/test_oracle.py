@@ -1,7 +1,5 @@
 """Every registered key with an oracle matches DuckDB on sf0.001 (the driver checks sf0.01)."""
 
-import math
-
 import duckdb
 import pandas as pd
 import pytest

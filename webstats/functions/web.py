@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from webstats.functions.numeric import _c, pg_round
+from webstats.functions.numeric import _c
 
 # RFC 3986 appendix B: groups 2 scheme, 4 authority, 5 path, 7 query, 9 fragment.
 URL_RE = r"^(([^:/?#]+):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?"
@@ -189,4 +189,4 @@ def padded_name(d, pattern: str) -> Column:
     return F.rpad(F.date_format(_c(d), pattern), 9, " ")
 
 
-__all__ = [n for n in dir() if not n.startswith("_")] + ["pg_round"]
+__all__ = [n for n in dir() if not n.startswith("_")]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from webstats.plans.registry import register
 from webstats.plans.views import VIEWS
 

@@ -16,9 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from webstats.functions.labels import (DURATION_BUCKETS, LOAD_BUCKETS, duration_bucket, health_score,
-                                       load_time_bucket, pct_delta)
-from webstats.functions.numeric import count_if, pct, pg_round, py_round, ratio, sum_long
+from webstats.functions.labels import DURATION_BUCKETS, LOAD_BUCKETS, health_score, pct_delta
+from webstats.functions.numeric import count_if, pg_round, py_round, ratio, sum_long
 from webstats.plans import views as V
 from webstats.plans.common import top_n
 

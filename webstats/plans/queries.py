@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webstats.functions.numeric import count_if, pct, pg_round, ratio, sum_if, sum_long, sum_money
-from webstats.functions.web import date_id
 from webstats.plans.common import share_of_total, top_n
 from webstats.plans import views as V
 from webstats.sources.adapters import DIM_END, DIM_START
