@@ -73,3 +73,12 @@ def test_built_tables_conform_to_schemas(tables):
         for col in set(df.columns) & set(c.columns):
             lost = c.where(c[col].isNull()).count() - df.where(df[col].isNull()).count()
             assert lost == 0, (name, col)
+
+
+def test_registered_views_run_sql(spark, tables):
+    from webstats.plans.registry import register_views, run_sql
+    names = register_views(tables, ["vw_daily_traffic", "raw_ga4_sessions"], prefix="t_")
+    assert names == ["t_raw_ga4_sessions", "t_vw_daily_traffic"]
+    n = run_sql(spark, "SELECT COUNT(*) FROM t_vw_daily_traffic WHERE session_date >= :d",
+                d=__import__("datetime").date(1996, 1, 1)).first()[0]
+    assert n > 0

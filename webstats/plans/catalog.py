@@ -62,3 +62,7 @@ def _stream_query(fn):
 
 for _name, _fn in STREAMS.items():
     register(_name, _stream_query(_fn))
+
+from webstats.plans.registry import sql_channel_breakdown  # noqa: E402
+
+register("sql_channel_breakdown", sql_channel_breakdown)
