@@ -247,6 +247,9 @@ def invariants(t) -> DataFrame:
         one("funnel_first_stage_100", fn.agg(count_if((F.col("stage_order") == 1)
                                                       & (F.col("completion_rate_pct") != 100)).alias("v"))),
         one("funnel_dropoff_non_negative", fn.agg(count_if(F.col("drop_off_count") < 0).alias("v"))),
+        # page keys are 64-bit hashes of the URL: report any key shared by two URLs
+        one("page_key_collisions", t.dim_pages.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
+            .agg(count_if(F.col("n") > 1).alias("v"))),
     ]
     return reduce(DataFrame.unionByName, parts)
 

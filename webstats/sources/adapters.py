@@ -11,8 +11,9 @@ DuckDB oracle; the two must stay in step.
 
 Scale notes: ``orders`` ⋈ ``customer`` is the only large join; it is a plain
 equi-join so Catalyst/AQE pick the strategy (sort-merge at scale, with AQE
-splitting skewed customer keys). ``nation`` has a fixed 25 rows and the page
-side is pruned to the 40 ids the modulo key can reach, so both are broadcast.
+splitting skewed customer keys). ``nation`` and the page side (pruned to the
+ids the modulo key can reach) are left to the planner's size check, which
+broadcasts them when small and shuffles otherwise.
 """
 
 from __future__ import annotations
@@ -100,9 +101,11 @@ class Tables:
              .filter((F.col("page_id") > -40) & (F.col("page_id") < 40)))
         ok, seg = F.col("o_orderkey"), F.col("c_mktsegment")
         even = (ok % 2) == 0
+        # no broadcast hints: the planner's size check (and AQE's at run time) broadcasts
+        # nation and the page subset when they are small and falls back to a shuffle join if not
         df = (o.join(c, o.o_custkey == c.c_custkey)
-              .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
-              .join(F.broadcast(p), F.col("page_id") == ok % 40, "left"))
+              .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+              .join(p, F.col("page_id") == ok % 40, "left"))
         channel = (F.when(seg == "AUTOMOBILE", "Organic Search").when(seg == "BUILDING", "Paid Search")
                    .when(seg == "FURNITURE", "Direct").when(seg == "MACHINERY", "Referral")
                    .when(even, "Social").otherwise("Email"))
