@@ -25,6 +25,9 @@ HEADLINE = [
     "channel_breakdown", "top_pages", "cvr_wow", "funnel_stage_counts", "response_time_by_page",
     "month_over_month_traffic", "traffic_kpis", "click_funnel", "engagement_top10", "dq_report",
     "audit_sql_log", "dim_pages",
+    # ingestion, HTML metadata, anomaly detection and a streaming job
+    "ingest_server_logs", "ingest_clickstream", "upsert_scrape_pages", "scrape_pages_from_html",
+    "score_isolation_forest", "stream_ingest_logs",
 ]
 
 
