@@ -218,6 +218,7 @@ class ForestModel:
         self.contamination, self.seed = contamination, seed
         self.group_cols = group_cols or []
         self.offset = offset       # float, or a DataFrame of per-group offsets
+        self.training_scores = None
         self._arrays = None
 
     def arrays(self) -> dict:
@@ -240,7 +241,9 @@ def fit(feats: DataFrame, features: list[str], contamination: float = 0.05, seed
     # the forest is small and costly to regrow: cut its lineage into the shared checkpoint folder
     nodes = train_isolation_forest(feats, features, n_trees, max_samples, seed, group_cols).checkpoint(eager=True)
     model = ForestModel(nodes, features, contamination, seed, group_cols)
-    scored = score_samples(feats, model)
+    # training rows are scored once: for the offset here and for their labels in detect()
+    scored = score_samples(feats, model).cache()
+    model.training_scores = scored
     q = F.percentile(F.col("score_samples"), contamination)
     if group_cols:
         model.offset = scored.groupBy(*group_cols).agg(q.alias("_offset")).checkpoint(eager=True)
@@ -249,9 +252,9 @@ def fit(feats: DataFrame, features: list[str], contamination: float = 0.05, seed
     return model
 
 
-def decide(feats: DataFrame, model: ForestModel) -> DataFrame:
+def decide(feats: DataFrame, model: ForestModel, scored: DataFrame | None = None) -> DataFrame:
     """M-03: is_anomaly, anomaly_score (= -decision) and severity for every row."""
-    s = score_samples(feats, model)
+    s = scored if scored is not None else score_samples(feats, model)
     if model.group_cols:
         s = s.join(model.offset, model.group_cols, "left")
         off = F.col("_offset")
@@ -273,7 +276,10 @@ def detect(df: DataFrame, metric_type: str = "traffic", model: ForestModel | Non
     feats = feature_frame(df, features, key, group_cols)
     if model is None:
         model = fit(feats, features, contamination, seed, group_cols=group_cols)
-    scored = decide(feats, model).select(*(group_cols or []), "_key", "is_anomaly", "anomaly_score", "severity")
+        scored = decide(feats, model, model.training_scores)
+    else:
+        scored = decide(feats, model)
+    scored = scored.select(*(group_cols or []), "_key", "is_anomaly", "anomaly_score", "severity")
     out = df.withColumn("_key", row_key(key)).join(scored, [*(group_cols or []), "_key"], "left")
     return out.drop("_key"), model
 
