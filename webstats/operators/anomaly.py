@@ -275,6 +275,8 @@ def detect(df: DataFrame, metric_type: str = "traffic", model: ForestModel | Non
                          F.lit("none").alias("severity")), model
     feats = feature_frame(df, features, key, group_cols)
     if model is None:
+        # training makes several passes (row count, tree routing, offset): keep the features in memory
+        feats = feats.cache()
         model = fit(feats, features, contamination, seed, group_cols=group_cols)
         scored = decide(feats, model, model.training_scores)
     else:
