@@ -29,9 +29,13 @@ VALID_EVENT_TYPES = ["click", "scroll", "pageview", "form_submit"]
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
+# The whitespace characters stripped from both ends (the regex class \s).
+WHITESPACE = " \t\n\r\x0b\x0c"
+
+
 def strip_ws(c: Column) -> Column:
-    """Python ``str.strip()``: leading and trailing whitespace removed."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Python ``str.strip()``: leading and trailing whitespace removed (character trim, no regex)."""
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def _require(df: DataFrame, required: set[str]) -> None:
