@@ -103,15 +103,13 @@ def test_apply_defaults(spark):
 
 
 def test_page_metadata_on_literals(spark):
-    from pyspark.sql import functions as F
     html = ('<html><head><title> Hi </title><meta name="description" content="About us">'
             '<link rel="canonical" href="https://s.com/a"><script type="application/ld+json">'
             '{"@context":"https://schema.org"}</script></head><body><h1>Head <b>line</b></h1>'
             '<p>one two  three</p><a href="/in">x</a><a href="https://s.com/b">y</a>'
             '<a href="https://other.org/c">z</a><a href="#top">t</a><img src="a.png"><IMG src="b"></body></html>')
     df = spark.createDataFrame([("https://s.com/a", html)], "url string, html string")
-    m = I.page_metadata(F.col("html"), F.col("url"))
-    r = df.select(*[v.alias(k) for k, v in m.items()]).first()
+    r = I.page_metadata_frame(df).first()
     assert r["title"] == "Hi" and r["meta_description"] == "About us" and r["canonical_url"] == "https://s.com/a"
     assert r["h1"] == "Head line" and r["images_count"] == 2 and r["has_schema_org"] is True
     assert r["internal_links"] == 2 and r["external_links"] == 1

@@ -204,43 +204,57 @@ def apply_defaults(df: DataFrame, table: str, ingested_at: str | None = None) ->
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)"
 
 
-def page_metadata(html: Column, url: Column) -> dict[str, Column]:
-    """Scrape columns computed from raw HTML with built-in regular expressions."""
-    def grab(p):
-        return F.nullif(F.trim(F.regexp_extract(html, p, 1)), F.lit(""))
+def _visible_text(html: Column) -> Column:
     text = F.regexp_replace(html, r"(?is)<script\b.*?</script>", " ")
     text = F.regexp_replace(text, r"(?is)<style\b.*?</style>", " ")
     text = F.regexp_replace(text, r"(?s)<!--.*?-->", " ")
-    text = F.trim(F.regexp_replace(F.regexp_replace(text, r"<[^>]*>", " "), r"\s+", " "))
-    hrefs = F.regexp_extract_all(html, F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""), 1)
-    page_host = F.lower(F.regexp_extract(url, _HOST, 1))
+    return F.trim(F.regexp_replace(F.regexp_replace(text, r"<[^>]*>", " "), r"\s+", " "))
+
+
+def _hrefs(html: Column) -> Column:
+    return F.regexp_extract_all(html, F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""), 1)
+
+
+def page_metadata_frame(df: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
+    """Scrape columns computed from raw HTML with built-in regular expressions.
+
+    The visible text, the link list and the page host are projected once and
+    the counts derived from them, so each pass over the HTML runs once per page.
+    """
+    h = F.col(html)
+
+    def grab(p):
+        return F.nullif(F.trim(F.regexp_extract(h, p, 1)), F.lit(""))
+    pre = df.select("*", _visible_text(h).alias("_text"), _hrefs(h).alias("_hrefs"),
+                    F.lower(F.regexp_extract(F.col(url), _HOST, 1)).alias("_host"))
 
-    def external(h):
-        return h.rlike(r"(?i)^https?://") & (F.lower(F.regexp_extract(h, _HOST, 1)) != page_host)
+    def external(x):
+        return x.rlike(r"(?i)^https?://") & (F.lower(F.regexp_extract(x, _HOST, 1)) != F.col("_host"))
 
-    def skip(h):
-        return h.rlike(r"(?i)^(#|mailto:|javascript:|tel:)") | (h == "")
-    return {
+    def skip(x):
+        return x.rlike(r"(?i)^(#|mailto:|javascript:|tel:)") | (x == "")
+    words = F.filter(F.split(F.col("_text"), " "), lambda w: w != "")
+    cols = {
         "title": grab(r"(?is)<title[^>]*>(.*?)</title>"),
         "canonical_url": grab(r"""(?is)<link\s+rel\s*=\s*["']canonical["']\s+href\s*=\s*["']([^"']*)["']"""),
         "meta_description": grab(
             r"""(?is)<meta\s+name\s*=\s*["']description["']\s+content\s*=\s*["']([^"']*)["']"""),
-        "h1": F.nullif(F.trim(F.regexp_replace(F.regexp_extract(html, r"(?is)<h1[^>]*>(.*?)</h1>", 1),
+        "h1": F.nullif(F.trim(F.regexp_replace(F.regexp_extract(h, r"(?is)<h1[^>]*>(.*?)</h1>", 1),
                                                r"<[^>]*>", "")), F.lit("")),
-        "word_count": F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, " "))).cast("int"),
-        "internal_links": F.size(F.filter(hrefs, lambda h: ~external(h) & ~skip(h))).cast("int"),
-        "external_links": F.size(F.filter(hrefs, lambda h: external(h))).cast("int"),
-        "images_count": F.size(F.regexp_extract_all(html, F.lit(r"(?i)(<img\b)"), 1)).cast("int"),
-        "has_schema_org": html.rlike(r"(?i)schema\.org"),
-        "page_size_kb": pg_round(F.octet_length(html) / 1024.0, 2),
+        "word_count": F.size(words).cast("int"),
+        "internal_links": F.size(F.filter("_hrefs", lambda x: ~external(x) & ~skip(x))).cast("int"),
+        "external_links": F.size(F.filter("_hrefs", lambda x: external(x))).cast("int"),
+        "images_count": F.size(F.regexp_extract_all(h, F.lit(r"(?i)(<img\b)"), 1)).cast("int"),
+        "has_schema_org": h.rlike(r"(?i)schema\.org"),
+        "page_size_kb": pg_round(F.octet_length(h) / 1024.0, 2),
     }
+    keep = [c for c in df.columns if c != html]
+    return pre.select(*keep, *[v.alias(k) for k, v in cols.items()])
 
 
 def scrape_pages_from_html(t) -> DataFrame:
     """I-15: one scrape row per page computed from its HTML."""
-    p = t.read("pages").select("page_id", "url", "html")
-    meta = page_metadata(F.col("html"), F.col("url"))
-    return p.select("page_id", "url", *[v.alias(k) for k, v in meta.items()])
+    return page_metadata_frame(t.read("pages").select("page_id", "url", "html"))
 
 
 # ---- exports, statistics, rejects ------------------------------------------------
