@@ -102,6 +102,22 @@ def anomaly_overlay(t) -> DataFrame:
         .select("session_date", "total_sessions", "sessions_7day_avg")
 
 
+def anomaly_severity_counts(t) -> DataFrame:
+    """D-05: anomalies per severity (all three levels present, zero-filled, one aggregate pass)."""
+    a = traffic_anomalies(t).where(F.col("is_anomaly"))
+    one = a.agg(*[F.count(F.when(F.col("severity") == s, 1)).alias(s) for s in ("low", "medium", "high")])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(s).alias("severity"), F.col(s).alias("anomalies"))
+                                          for s in ("low", "medium", "high")])).alias("r")).select("r.*")
+
+
+def anomalies_by_score(t) -> DataFrame:
+    """D-05: the anomaly days with their metrics, most anomalous first (sorted at the sink)."""
+    return (traffic_anomalies(t).where(F.col("is_anomaly"))
+            .select("session_date", "total_sessions", "total_pageviews", "avg_session_duration",
+                    "anomaly_score", "severity")
+            .orderBy(F.col("anomaly_score").desc(), F.col("session_date").asc()))
+
+
 def latest_anomaly(t) -> DataFrame:
     """D-31: anomaly count, high/medium counts and the most recent anomaly with its severity."""
     a = traffic_anomalies(t).where(F.col("is_anomaly"))
@@ -118,4 +134,5 @@ DETECTION = {
     "detect_bounce_anomalies": bounce_anomalies, "detect_channel_anomalies": channel_anomalies,
     "anomaly_summary": anomaly_summary, "run_detection": run_detection, "save_load_model": model_roundtrip,
     "evaluate_model": evaluate, "anomaly_overlay": anomaly_overlay, "latest_anomaly": latest_anomaly,
+    "anomaly_severity_counts": anomaly_severity_counts, "anomalies_by_score": anomalies_by_score,
 }
