@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from webstats.llm.bpe_codec import bpe_decode, bpe_encode
 from webstats.llm.common import table
+from webstats.llm.hd_langid import fit_profiles, held_out, predict_language
 
 
 def vocabulary_path() -> str:
@@ -17,6 +18,13 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op4_hd_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles = fit_profiles(docs.where(~held_out()))
+    return predict_language(docs.select("doc_id", "text"), profiles).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ids = bpe_encode(docs, vocabulary_path()).select("doc_id", "n_tokens", "ids")
@@ -26,6 +34,7 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_hd_langid": op4_hd_langid,
     "op5_bpe_codec": op5_bpe_codec,
 }
 ORACLE_SQL: dict[str, str] = {}
