@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from webstats.llm.bpe_codec import bpe_decode, bpe_encode
 from webstats.llm.common import table
 from webstats.llm.hd_langid import fit_profiles, held_out, predict_language
+from webstats.llm.markov_secrets import fit_models, listing, scan_secrets
 
 
 def vocabulary_path() -> str:
@@ -33,8 +34,17 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op6_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = scan_secrets(docs, fit_models(docs))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(listing(F.col("base")).cast("binary"), 256).alias("base_sha256"), listing(F.col("found")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hd_langid": op4_hd_langid,
     "op5_bpe_codec": op5_bpe_codec,
+    "op6_markov_secrets": op6_markov_secrets,
 }
 ORACLE_SQL: dict[str, str] = {}
