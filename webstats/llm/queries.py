@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from webstats.llm.bpe_codec import bpe_decode, bpe_encode
 from webstats.llm.common import table
 from webstats.llm.hd_langid import fit_profiles, held_out, predict_language
+from webstats.llm.license_index import license_vocabulary, scan_licenses, word_idf
 from webstats.llm.markov_secrets import fit_models, listing, scan_secrets
 
 
@@ -42,9 +43,22 @@ def op6_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(listing(F.col("base")).cast("binary"), 256).alias("base_sha256"), listing(F.col("found")).alias("spans"))
 
 
+def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = scan_licenses(docs, word_idf(docs, license_vocabulary()))
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")     # noqa: E731
+    best = F.coalesce(F.array_max("matches.coverage"), F.lit(0.0))
+    return found.select(
+        "doc_id", F.size("words").cast("long").alias("n_words"), F.size("places").cast("long").alias("n_base"),
+        F.array_min("places.start").cast("long").alias("first_word"), F.array_max("places.start").cast("long").alias("last_word"),
+        joined(F.col("places.label")).alias("base_labels"),
+        joined(F.concat("places.label", "matches.label")).alias("labels"), best.alias("score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hd_langid": op4_hd_langid,
     "op5_bpe_codec": op5_bpe_codec,
     "op6_markov_secrets": op6_markov_secrets,
+    "op10_license_index": op10_license_index,
 }
 ORACLE_SQL: dict[str, str] = {}
