@@ -12,6 +12,7 @@ from webstats.llm.common import table
 from webstats.llm.hd_langid import fit_profiles, held_out, predict_language
 from webstats.llm.license_index import license_vocabulary, scan_licenses, word_idf
 from webstats.llm.markov_secrets import fit_models, listing, scan_secrets
+from webstats.llm.minimax_sharding import shard_minimax
 
 
 def vocabulary_path() -> str:
@@ -20,6 +21,13 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    slim = shard_minimax(docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))), 16)
+    return slim.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op4_hd_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     profiles = fit_profiles(docs.where(~held_out()))
@@ -56,6 +64,7 @@ def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_minimax_sharding": op3_minimax_sharding,
     "op4_hd_langid": op4_hd_langid,
     "op5_bpe_codec": op5_bpe_codec,
     "op6_markov_secrets": op6_markov_secrets,
