@@ -13,6 +13,7 @@ from webstats.llm.hd_langid import fit_profiles, held_out, predict_language
 from webstats.llm.license_index import license_vocabulary, scan_licenses, word_idf
 from webstats.llm.markov_secrets import fit_models, listing, scan_secrets
 from webstats.llm.minimax_sharding import shard_minimax
+from webstats.llm.signature_tree_join import link_classes
 
 
 def vocabulary_path() -> str:
@@ -51,6 +52,10 @@ def op6_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(listing(F.col("base")).cast("binary"), 256).alias("base_sha256"), listing(F.col("found")).alias("spans"))
 
 
+def op7_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_classes(table(spark, sf_dir, "documents"))
+
+
 def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = scan_licenses(docs, word_idf(docs, license_vocabulary()))
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hd_langid": op4_hd_langid,
     "op5_bpe_codec": op5_bpe_codec,
     "op6_markov_secrets": op6_markov_secrets,
+    "op7_signature_tree_join": op7_signature_tree_join,
     "op10_license_index": op10_license_index,
 }
 ORACLE_SQL: dict[str, str] = {}
