@@ -1,4 +1,9 @@
-"""The corpus pipeline: stages of the training-data operators over ``documents``."""
+"""The corpus pipeline: five stages of the training-data operators over ``documents``.
+
+Each stage takes what its predecessor kept, as a table in the cluster's shared
+folder, so a lost executor costs at most the stage at hand.  All stages but the
+last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
@@ -7,15 +12,55 @@ from pyspark.sql import functions as F
 
 from webstats.llm.bpe_codec import bpe_encode
 from webstats.llm.common import stored, table
+from webstats.llm.hd_langid import UNKNOWN, fit_profiles, held_out, predict_language
+from webstats.llm.markov_secrets import fit_models, redact, scan_secrets
 from webstats.llm.queries import vocabulary_path
+from webstats.llm.signature_tree_join import link_classes
+from webstats.llm.template_decontamination import drop_contaminated
+
+LEAST_SCORE = 0.02          # cosine below which a text resembles no learned language
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that resemble a learned language; texts without letters and letter noise go."""
+    profiles = fit_profiles(docs.where(~held_out()))
+    kept = predict_language(docs, profiles).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return kept.select(*docs.columns)
+
+
+def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of linked documents: the one with the smallest id (a repeated id stays once)."""
+    classes = link_classes(docs).where(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
+    return docs.join(classes, "doc_id").dropDuplicates(["doc_id"]).select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that give away no benchmark item."""
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets replaced by a mark; ``n_chars`` follows the text."""
+    found = scan_secrets(docs, fit_models(docs)).withColumn("clean", redact(F.col("text"), F.col("found")))
+    changed = F.size("found") > 0
+    return found.withColumn("n_chars", F.when(changed, F.length("clean")).otherwise(F.col("n_chars")).cast("long")).withColumn(
+        "text", F.col("clean")).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """BPE encoding: the kept documents with their token ids."""
+    """The kept documents with their token ids."""
     return bpe_encode(docs, vocabulary_path())
 
 
-STAGES = [("bpe_encoding", encode)]
+STAGES = [
+    ("language_id", identify_language),
+    ("jaccard_join", one_of_each_class),
+    ("decontamination", decontaminate),
+    ("secret_scan", redact_secrets),
+    ("bpe_encoding", encode),
+]
+
+#: the BPE stage and the language models can't be expressed in SQL
 ORACLE_SQL = None
 
 

@@ -14,6 +14,7 @@ from webstats.llm.license_index import license_vocabulary, scan_licenses, word_i
 from webstats.llm.markov_secrets import fit_models, listing, scan_secrets
 from webstats.llm.minimax_sharding import shard_minimax
 from webstats.llm.signature_tree_join import link_classes
+from webstats.llm.template_decontamination import find_contamination
 
 
 def vocabulary_path() -> str:
@@ -22,6 +23,10 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     slim = shard_minimax(docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))), 16)
@@ -69,6 +74,7 @@ def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_template_decontamination": op1_template_decontamination,
     "op3_minimax_sharding": op3_minimax_sharding,
     "op4_hd_langid": op4_hd_langid,
     "op5_bpe_codec": op5_bpe_codec,
