@@ -14,6 +14,7 @@ from webstats.llm.license_index import license_vocabulary, scan_licenses, word_i
 from webstats.llm.markov_secrets import fit_models, listing, scan_secrets
 from webstats.llm.minimax_sharding import shard_minimax
 from webstats.llm.signature_tree_join import link_classes
+from webstats.llm.stable_projection_ann import nearest
 from webstats.llm.template_decontamination import find_contamination
 
 
@@ -61,6 +62,12 @@ def op7_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_classes(table(spark, sf_dir, "documents"))
 
 
+def op9_stable_projection_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = nearest(rows, rows.where(F.col("vec_id") % 20 == 0), "vec_id", "embedding", 20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = scan_licenses(docs, word_idf(docs, license_vocabulary()))
@@ -80,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe_codec": op5_bpe_codec,
     "op6_markov_secrets": op6_markov_secrets,
     "op7_signature_tree_join": op7_signature_tree_join,
+    "op9_stable_projection_ann": op9_stable_projection_ann,
     "op10_license_index": op10_license_index,
 }
 ORACLE_SQL: dict[str, str] = {}
