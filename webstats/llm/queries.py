@@ -15,6 +15,7 @@ from webstats.llm.markov_secrets import fit_models, listing, scan_secrets
 from webstats.llm.minimax_sharding import shard_minimax
 from webstats.llm.signature_tree_join import link_classes
 from webstats.llm.stable_projection_ann import nearest
+from webstats.llm.tagpath_extract import extract_main_text
 from webstats.llm.template_decontamination import find_contamination
 
 
@@ -62,6 +63,11 @@ def op7_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_classes(table(spark, sf_dir, "documents"))
 
 
+def op8_tagpath_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_main_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_stable_projection_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     found = nearest(rows, rows.where(F.col("vec_id") % 20 == 0), "vec_id", "embedding", 20)
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe_codec": op5_bpe_codec,
     "op6_markov_secrets": op6_markov_secrets,
     "op7_signature_tree_join": op7_signature_tree_join,
+    "op8_tagpath_extract": op8_tagpath_extract,
     "op9_stable_projection_ann": op9_stable_projection_ann,
     "op10_license_index": op10_license_index,
 }
