@@ -15,6 +15,7 @@ from webstats.llm.markov_secrets import fit_models, listing, scan_secrets
 from webstats.llm.minimax_sharding import shard_minimax
 from webstats.llm.signature_tree_join import link_classes
 from webstats.llm.stable_projection_ann import nearest
+from webstats.llm.superkmer_dedup import dedup_substrings
 from webstats.llm.tagpath_extract import extract_main_text
 from webstats.llm.template_decontamination import find_contamination
 
@@ -29,6 +30,11 @@ def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     slim = shard_minimax(docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))), 16)
@@ -88,6 +94,7 @@ def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_decontamination": op1_template_decontamination,
+    "op2_superkmer_dedup": op2_superkmer_dedup,
     "op3_minimax_sharding": op3_minimax_sharding,
     "op4_hd_langid": op4_hd_langid,
     "op5_bpe_codec": op5_bpe_codec,

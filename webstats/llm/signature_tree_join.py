@@ -4,7 +4,7 @@ A document's set is that of its distinct word shingles (64-bit hashes, A-Z
 folded).  Two documents link when the Jaccard similarity of their sets reaches
 the threshold; the operator returns each document's class of linked documents.
 
-1. Documents go to batches of about ``BATCH_BYTES`` of text (by id hash).
+1. Documents go to batches (see ``batches``) by id hash.
    Each batch sends its distinct shingles, packed, to hash ranges, which tell
    how many batches hold each shingle.
 2. Back in the batch, shingles are ordered from rare to frequent.  A document
@@ -33,13 +33,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webstats.llm.common import Words, mix64, rolling, shuffle_width, stored
+from webstats.llm.batches import GRADED, PACKED, batched, grade_range, grades_of, pack_ranges
+from webstats.llm.common import Words, mix64, rolling, stored
 from webstats.llm.components import connected_components
 
 SHINGLE = 5
 PERCENT = 75                # 100 * intersection >= PERCENT * union
-BATCH_BYTES = 4_000_000     # text per batch
-RANGE_SHINGLES = 1_000_000  # shingles per hash range
 BLOCK_SETS = 2_000          # sets that one task compares
 LEAF, FANOUT = 16, 8
 
@@ -164,40 +163,16 @@ def _unpack(blob: bytes) -> np.ndarray:
 def link_classes(df: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
                  percent: int = PERCENT) -> DataFrame:
     """``(key, n_shingles, component_id)`` for every row of ``df``: its class by the smallest key in it."""
-    spark = df.sparkSession
-    docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    batches = max(shuffle_width(spark), -(-total // BATCH_BYTES))
-    bits = max(4, int(total // 6 // RANGE_SHINGLES).bit_length())
-    docs = docs.withColumn("batch", F.pmod(F.xxhash64("id"), F.lit(batches)))
+    docs, bits = batched(df, key, text)
 
     def own_shingles(keyed: tuple, pdf):
-        import pandas as pd
-
         sets = _sets(pdf["text"].tolist(), shingle)
         every = np.unique(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
-        ranges = (every >> np.uint64(64 - bits)).astype(np.int64)
-        packed = ((every << np.uint64(bits)) >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5]
-        cut = np.flatnonzero(np.diff(ranges)) + 1
-        starts, ends = np.concatenate(([0], cut)), np.concatenate((cut, [len(every)]))
-        live = ends > starts
-        return pd.DataFrame({"range": ranges[starts[live]] if len(every) else ranges, "batch": keyed[0],
-                             "blob": [packed[a:b].tobytes() for a, b in zip(starts[live], ends[live])]})
-
-    def spread(keyed: tuple, pdf):
-        import pandas as pd
-
-        parts = [np.pad(np.frombuffer(b, np.uint8).reshape(-1, 5), ((0, 0), (0, 3))).view(np.uint64).ravel() for b in pdf["blob"]]
-        lens = np.cumsum([0] + [len(p) for p in parts])
-        _, which, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
-        grade = np.where(count > 1, np.minimum(1 + np.floor(np.log2(count)), 255), 0).astype(np.uint8)[which]
-        blobs = [grade[a:b].tobytes() for a, b in zip(lens[:-1], lens[1:])]
-        out = pd.DataFrame({"batch": pdf["batch"].to_numpy(), "range": keyed[0], "grades": blobs})
-        return out[[any(b) for b in blobs]]
+        return pack_ranges(every, bits, keyed[0])
 
     grouped = docs.groupBy("batch")
-    sent = grouped.applyInPandas(own_shingles, "range bigint, batch bigint, blob binary")
-    grades = sent.groupBy("range").applyInPandas(spread, "batch bigint, range bigint, grades binary")
+    sent = grouped.applyInPandas(own_shingles, PACKED)
+    grades = sent.groupBy("range").applyInPandas(grade_range, GRADED)
 
     def settle(keyed: tuple, pdf, back):
         import hashlib
@@ -206,11 +181,7 @@ def link_classes(df: DataFrame, text: str = "text", key: str = "doc_id", shingle
 
         sets = _sets(pdf["text"].tolist(), shingle)
         every = np.unique(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
-        ranges = (every >> np.uint64(64 - bits)).astype(np.int64)
-        grade = np.zeros(len(every), np.uint8)
-        for r, g in zip(back["range"].tolist(), back["grades"]):
-            a = np.searchsorted(ranges, r)
-            grade[a:a + len(g)] = np.frombuffer(g, np.uint8)
+        grade = grades_of(every, bits, back)
         places, rep_of, owners = [], {}, np.zeros(len(every), np.int32)
         for i, s in enumerate(sets):
             places.append(np.searchsorted(every, s))
