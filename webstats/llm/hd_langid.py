@@ -144,7 +144,7 @@ def predict_language(df: DataFrame, profiles: dict[str, list[int]], text: str =
                      seed: int = SEED) -> DataFrame:
     """``df`` with ``lang_pred`` (string) and ``score`` (double), read from the text column alone."""
     names = list(profiles)
-    proto = np.array([profiles[n] for n in names], np.float64).reshape(len(names), -1)
+    proto = np.array([profiles[n] for n in names], np.float64).reshape(len(names), dimensions)
     proto = (proto / np.maximum(np.linalg.norm(proto, axis=1, keepdims=True), 1e-12)).astype(np.float32)
     new = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     kept = [f for f in df.schema.fields if f.name.lower() not in ("lang_pred", "score")]

@@ -13,6 +13,7 @@ from webstats.llm.hd_langid import fit_profiles, held_out, predict_language
 from webstats.llm.license_index import license_vocabulary, scan_licenses, word_idf
 from webstats.llm.markov_secrets import fit_models, listing, scan_secrets
 from webstats.llm.minimax_sharding import shard_minimax
+from webstats.llm.oracle import ORACLE_SQL  # noqa: F401  (read by __spark_entry__)
 from webstats.llm.signature_tree_join import link_classes
 from webstats.llm.stable_projection_ann import nearest
 from webstats.llm.superkmer_dedup import dedup_substrings
@@ -104,4 +105,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_stable_projection_ann": op9_stable_projection_ann,
     "op10_license_index": op10_license_index,
 }
-ORACLE_SQL: dict[str, str] = {}
