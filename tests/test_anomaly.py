@@ -85,3 +85,12 @@ def test_summary_and_grouped_models(tables):
     per = {r["channel_grouping"]: r["n"] for r in g.where("is_anomaly").groupBy("channel_grouping")
            .agg(F.count(F.lit(1)).alias("n")).collect()}
     assert len(per) >= 5
+
+
+def test_rows_in_equal_rows_out_and_empty_frame(spark):
+    rows = [("a|b", "c", 1.0), ("a", "b|c", 2.0), ("a", "b|c", 2.0), (None, "x", 3.0)] * 5
+    df = spark.createDataFrame(rows, "x string, y string, total_sessions double")
+    out, _ = A.detect(df, "bounce", key=["x", "y"])
+    assert out.count() == 20 and out.columns == [*df.columns, "is_anomaly", "anomaly_score", "severity"]
+    none, _ = A.detect(df.where("false"), "bounce", key=["x", "y"])
+    assert none.count() == 0

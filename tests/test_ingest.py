@@ -114,3 +114,23 @@ def test_page_metadata_on_literals(spark):
     assert r["h1"] == "Head line" and r["images_count"] == 2 and r["has_schema_org"] is True
     assert r["internal_links"] == 2 and r["external_links"] == 1
     assert r["word_count"] == 10                    # Hi, Head, line, one, two, three, x, y, z, t
+
+
+def test_word_counts_that_are_no_numbers(spark):
+    values = ["nan", "inf", "-inf", "1e12", "12.9", "-3", None, "many"]
+    df = spark.createDataFrame([(f"http://a.b/{i}", "t", "m", v, "2024-01-01 00:00:00") for i, v in enumerate(values)],
+                               "url string, title string, meta_description string, word_count string, scraped_at string")
+    out = {r["url"]: r["word_count"] for r in I.clean_scrape(df).collect()}
+    assert [out[f"http://a.b/{i}"] for i in range(8)] == [0, 0, 0, 0, 12, 0, 0, 0]
+
+
+def test_incremental_without_since_and_unreadable_target(spark, tmp_path):
+    df = spark.createDataFrame([("2024-01-01", 1), ("2024-01-02", 2)], "day string, v int")
+    path = str(tmp_path / "t")
+    assert I.load_incremental(path, df, None, "day").count() == 2
+    assert I.load_incremental(path, df, None, "day").count() == 2
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "part-0.parquet").write_bytes(b"no table")
+    with pytest.raises(Exception):
+        I.load_incremental(str(bad), df, None, "day")

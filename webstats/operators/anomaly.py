@@ -28,16 +28,21 @@ from __future__ import annotations
 
 import json
 import math
+import sys
 import os
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from webstats.functions.labels import severity
 
+# scoring and tree building run in Python workers: they travel by value, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Candidate features per metric type (as the reference names them).
 FEATURES = {
     "traffic": ["total_sessions", "total_pageviews", "avg_bounce_rate", "avg_session_duration"],
@@ -64,9 +69,9 @@ def prepare_features(df: DataFrame, metric_type: str = "traffic") -> list[str]:
 
 
 def row_key(key) -> "F.Column":
-    """A unique string key per row from one column or several."""
+    """A string key per row from one column or several; quoted, so that different values give different keys."""
     cols = [key] if isinstance(key, str) else list(key)
-    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in cols])
+    return F.to_json(F.struct(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(cols)]))
 
 
 def feature_frame(df: DataFrame, features: list[str], key="session_date",
@@ -128,7 +133,8 @@ def _tree_builder(features: list[str], max_samples: int, seed: int, group_cols:
 
 
 def _unit_hash(key, tree, seed: int):
-    return (F.abs(F.xxhash64(key, tree, F.lit(seed)) % 1000003)).cast("double") / 1000003.0
+    """Uniform in [0, 1) with 53 bits, so that the share of rows per tree stays exact at any row count."""
+    return F.shiftrightunsigned(F.xxhash64(key, tree, F.lit(seed)), 11).cast("double") / float(1 << 53)
 
 
 def train_isolation_forest(feats: DataFrame, features: list[str], n_trees: int = 100, max_samples: int = 256,
@@ -186,9 +192,12 @@ def score_samples(feats: DataFrame, model: "ForestModel") -> DataFrame:
     bc = spark.sparkContext.broadcast(model.arrays())
     features, group_cols = model.features, model.group_cols
 
-    def score(it):
+    def score(batches):
+        import pyarrow as pa
+
         arrays = bc.value
-        for pdf in it:
+        for batch in batches:
+            pdf = batch.select([*dict.fromkeys([*group_cols, *features])]).to_pandas()
             s = np.full(len(pdf), np.nan)
             if len(pdf):
                 keys = (list(pdf[group_cols].itertuples(index=False, name=None)) if group_cols
@@ -204,9 +213,10 @@ def score_samples(feats: DataFrame, model: "ForestModel") -> DataFrame:
                     forest, psi = entry
                     c = float(avg_path_length([psi])[0]) or 1.0
                     s[pos] = -np.power(2.0, -_path_lengths(X_all[pos], forest) / c)
-            yield pdf.assign(score_samples=s)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, from_pandas=True)],
+                                             names=[*batch.schema.names, "score_samples"])
     schema = T.StructType(feats.schema.fields + [T.StructField("score_samples", T.DoubleType())])
-    return feats.mapInPandas(score, schema=schema)
+    return feats.mapInArrow(score, schema=schema)
 
 
 class ForestModel:
@@ -248,7 +258,8 @@ def fit(feats: DataFrame, features: list[str], contamination: float = 0.05, seed
     if group_cols:
         model.offset = scored.groupBy(*group_cols).agg(q.alias("_offset")).checkpoint(eager=True)
     else:
-        model.offset = float(scored.agg(q).first()[0])
+        cut = scored.agg(q).first()[0]
+        model.offset = float(cut) if cut is not None else 0.0      # no rows: nothing to decide
     return model
 
 
@@ -273,7 +284,10 @@ def detect(df: DataFrame, metric_type: str = "traffic", model: ForestModel | Non
     if not features:
         return df.select("*", F.lit(False).alias("is_anomaly"), F.lit(0.0).alias("anomaly_score"),
                          F.lit("none").alias("severity")), model
-    feats = feature_frame(df, features, key, group_cols)
+    # the row travels with its features: no join back on a key
+    whole = F.struct(*[F.col(c) for c in df.columns]).alias("_row")
+    feats = df.select(*(group_cols or []), row_key(key).alias("_key"), whole,
+                      *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
     if model is None:
         # training makes several passes (row count, tree routing, offset): keep the features in memory
         feats = feats.cache()
@@ -281,9 +295,7 @@ def detect(df: DataFrame, metric_type: str = "traffic", model: ForestModel | Non
         scored = decide(feats, model, model.training_scores)
     else:
         scored = decide(feats, model)
-    scored = scored.select(*(group_cols or []), "_key", "is_anomaly", "anomaly_score", "severity")
-    out = df.withColumn("_key", row_key(key)).join(scored, [*(group_cols or []), "_key"], "left")
-    return out.drop("_key"), model
+    return scored.select("_row.*", "is_anomaly", "anomaly_score", "severity"), model
 
 
 def anomaly_summary(annotated: DataFrame, date_col: str = "session_date") -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from webstats.functions.numeric import pg_round, py_round
@@ -112,7 +113,8 @@ def clean_scrape(df: DataFrame, as_of: str | None = None) -> DataFrame:
     for c in ("title", "meta_description"):
         v = strip_ws(F.col(c))
         df = df.withColumn(c, F.when(v == "nan", F.lit(None).cast("string")).otherwise(v))
-    wc = F.coalesce(F.col("word_count").cast("string").try_cast("double"), F.lit(0.0)).cast("long").cast("int")
+    number = F.col("word_count").cast("string").try_cast("double")
+    wc = F.coalesce(F.when(~F.isnan(number), number.try_cast("long").try_cast("int")), F.lit(0))
     df = df.withColumn("word_count", F.greatest(wc, F.lit(0)))
     fallback = F.lit(as_of).cast("timestamp_ntz") if as_of else F.current_timestamp().cast("timestamp_ntz")
     df = df.withColumn("scraped_at", F.coalesce(_ts(F.col("scraped_at")), fallback))
@@ -132,28 +134,29 @@ def load_full(df: DataFrame, path: str, date_col: str | None = None) -> DataFram
     return df.sparkSession.read.parquet(path)
 
 
-def rows_to_append(target: DataFrame, new: DataFrame, since: str, date_col: str) -> DataFrame:
-    """I-06: rows of ``new`` dated on/after ``since`` whose date is not loaded yet.
+def rows_to_append(target: DataFrame, new: DataFrame, since: str | None, date_col: str) -> DataFrame:
+    """I-06: rows of ``new`` dated on/after ``since`` (None: all) whose date is not loaded yet.
 
     Date-granular like the reference: a late row for an already loaded day is
-    skipped. The anti-join side is the distinct loaded days (bounded by the
-    calendar), so it is broadcast.
+    skipped. The anti-join side is the distinct loaded days; the planner broadcasts
+    it after its own size check.
     """
     d = F.col(date_col).cast("date")
     loaded = target.select(F.col(date_col).cast("date").alias("_d")).distinct()
-    cand = new.where(d >= F.lit(since).cast("date")).withColumn("_d", d)
-    return cand.join(F.broadcast(loaded), "_d", "left_anti").drop("_d")
+    cand = (new if since is None else new.where(d >= F.lit(since).cast("date"))).withColumn("_d", d)
+    return cand.join(loaded, "_d", "left_anti").drop("_d")
 
 
-def load_incremental(path: str, new: DataFrame, since: str, date_col: str) -> DataFrame:
+def load_incremental(path: str, new: DataFrame, since: str | None, date_col: str) -> DataFrame:
     """I-06 sink: append the new days to the table at ``path`` (created when absent)."""
     spark = new.sparkSession
     try:
         target = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no table yet
-        target = None
-    add = rows_to_append(target, new, since, date_col) if target is not None else \
-        new.where(F.col(date_col).cast("date") >= F.lit(since).cast("date"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        target = spark.createDataFrame([], new.schema)      # no table yet
+    add = rows_to_append(target, new, since, date_col)
     add.withColumn("load_date", F.col(date_col).cast("date")).write.mode("append") \
         .partitionBy("load_date").parquet(path)
     return spark.read.parquet(path)

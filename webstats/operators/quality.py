@@ -30,7 +30,7 @@ RAW_CHECKS = {
 
 
 def raw_tables(t) -> dict[str, DataFrame]:
-    return {"raw_ga4_sessions": t.ga4, "raw_server_logs": t.logs, "raw_clickstream_events": t.clicks,
+    return {"raw_ga4_sessions": t.sessions, "raw_server_logs": t.logs, "raw_clickstream_events": t.clicks,
             "raw_scrape_pages": t.scrape}
 
 
@@ -121,7 +121,7 @@ def _nulls(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def verify_ga4(t) -> DataFrame:
     """DQ-02."""
-    g = t.ga4
+    g = t.sessions
     summary = _one(g.agg(F.count(F.lit(1)).alias("n"), F.min("session_date").alias("lo"),
                          F.max("session_date").alias("hi")), "summary",
                    [("total_rows", "count", F.col("n")), ("min_date", "text", F.col("lo")),

@@ -29,20 +29,20 @@ VALID_TABLES = ["raw_ga4_sessions", "raw_server_logs", "raw_scrape_pages", "raw_
 
 def _as_of(t, as_of):
     if as_of is None:
-        return t.ga4.select(F.max("session_date")).scalar()
+        return t.sessions.select(F.max("session_date")).scalar()
     return F.lit(as_of).cast("date")
 
 
 def nlq_top_channels(t) -> DataFrame:
     """N-01."""
-    g = t.ga4.groupBy("channel_grouping").agg(sum_long("sessions").alias("total_sessions"))
+    g = t.sessions.groupBy("channel_grouping").agg(sum_long("sessions").alias("total_sessions"))
     return top_n(g, 5, F.col("total_sessions").desc(), F.col("channel_grouping").asc_nulls_last())
 
 
 def nlq_bounce_by_device(t) -> DataFrame:
     """N-02: share of bounced rows (not session-weighted)."""
     from webstats.functions.numeric import pg_round
-    return t.ga4.groupBy("device_category").agg(
+    return t.sessions.groupBy("device_category").agg(
         pg_round(F.avg(F.when(F.col("bounce"), 1.0).otherwise(0.0)) * 100, 2).alias("bounce_rate_pct"),
         F.count(F.lit(1)).alias("sessions"))
 
@@ -55,7 +55,7 @@ def nlq_error_pages(t) -> DataFrame:
 
 def nlq_cvr_this_month(t, as_of=None) -> DataFrame:
     """N-04: one row for the month containing ``as_of``."""
-    g = t.ga4.where(F.col("session_date") >= F.trunc(_as_of(t, as_of), "month"))
+    g = t.sessions.where(F.col("session_date") >= F.trunc(_as_of(t, as_of), "month"))
     n = F.count(F.lit(1))
     return g.agg(n.alias("total_sessions"), sum_long("conversions").alias("total_conversions"),
                  ratio(F.sum("conversions"), n, 2, 100).alias("conversion_rate_pct"))
@@ -63,7 +63,7 @@ def nlq_cvr_this_month(t, as_of=None) -> DataFrame:
 
 def nlq_last_7_days(t, as_of=None) -> DataFrame:
     """N-05."""
-    g = t.ga4.where(F.col("session_date") >= F.date_sub(_as_of(t, as_of), 7))
+    g = t.sessions.where(F.col("session_date") >= F.date_sub(_as_of(t, as_of), 7))
     return g.groupBy("session_date").agg(sum_long("sessions").alias("total_sessions"))
 
 

@@ -39,7 +39,7 @@ CTES["raw_ga4_sessions"] = """
               AS DECIMAL(18,2)) AS revenue
   FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
        JOIN nation n ON n.n_nationkey = c.c_nationkey
-       LEFT JOIN pages p ON p.page_id = o.o_orderkey % 40
+       LEFT JOIN pages p ON p.page_id = o.o_orderkey % (SELECT count(*) FROM pages)
 """
 
 CTES["ev"] = """
@@ -57,23 +57,17 @@ CTES["logs_keyed"] = """
   SELECT event_id, ts AS log_time,
          concat('10.0.', CAST(user_id % 4 AS VARCHAR), '.', CAST(user_id AS VARCHAR)) AS ip_address,
          CASE WHEN event_id % 100 < 85 THEN 'GET' ELSE 'POST' END AS method,
-         CASE k % 10 WHEN 0 THEN '/' WHEN 1 THEN '/about' WHEN 2 THEN '/products' WHEN 3 THEN '/contact'
-              WHEN 4 THEN '/blog' WHEN 5 THEN '/blog/post-1' WHEN 6 THEN '/blog/post-2' WHEN 7 THEN '/pricing'
-              WHEN 8 THEN '/faq' ELSE '/login' END AS url,
+         CASE k % 6 WHEN 0 THEN '/' WHEN 1 THEN '/products' WHEN 2 THEN '/pricing' WHEN 3 THEN '/blog/entry-' || user_id
+              WHEN 4 THEN '/guides/' || k ELSE '/docs/' || user_id END AS url,
          CASE WHEN event_type = 'error' THEN CASE WHEN k % 20 < 5 THEN 500 ELSE 404 END
               WHEN event_type = 'signup' THEN 301 ELSE 200 END AS status_code,
          512 + event_id * 7919 % 80000 AS response_bytes,
          CASE WHEN event_id % 50 = 0 THEN NULL ELSE CAST(floor(value * 10) AS INT) END AS response_time_ms,
-         CASE event_id % 9
-              WHEN 0 THEN 'Mozilla/5.0 (Windows NT 10.0; Win64; x64) Chrome/120.0.0.0 Safari/537.36'
-              WHEN 1 THEN 'Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) Chrome/120.0.0.0 Safari/537.36'
-              WHEN 2 THEN 'Mozilla/5.0 (Windows NT 10.0; rv:121.0) Gecko/20100101 Firefox/121.0'
-              WHEN 3 THEN 'Mozilla/5.0 (Macintosh; Intel Mac OS X 14_2) Version/17.2 Safari/605.1.15'
-              WHEN 4 THEN 'Mozilla/5.0 (Windows NT 10.0; Win64; x64) Chrome/120.0.0.0 Safari/537.36 Edg/120.0.0.0'
-              WHEN 5 THEN 'Mozilla/5.0 (X11; Linux x86_64) Chrome/120.0.0.0 Safari/537.36'
-              WHEN 6 THEN 'Mozilla/5.0 (iPhone; CPU iPhone OS 17_2 like Mac OS X) Version/17.2 Mobile/15E148 Safari/604.1'
-              WHEN 7 THEN 'Mozilla/5.0 (Linux; Android 14; Pixel 8) Chrome/120.0.0.0 Mobile Safari/537.36'
-         END AS user_agent
+         'Mozilla/5.0 (' || CASE event_id % 6 WHEN 0 THEN 'Windows NT 11.0; ARM64' WHEN 1 THEN 'Macintosh; Mac OS X 13_6'
+              WHEN 2 THEN 'X11; Debian' WHEN 3 THEN 'iPhone; iOS 16_5' WHEN 4 THEN 'Android 13; SM-A54'
+              ELSE 'iPad; iPadOS 16_5' END || ') ' || CASE event_id % 5 WHEN 0 THEN 'Chrome/111.0.5'
+              WHEN 1 THEN 'Gecko Firefox/115.3' WHEN 2 THEN 'Version/16.5 Safari/614.1'
+              WHEN 3 THEN 'Chrome/109.0.1 Edg/109.0.1' END AS user_agent
   FROM ev
 """
 
@@ -88,9 +82,9 @@ CTES["clicks_keyed"] = """
          CAST(user_id AS VARCHAR) AS user_pseudo_id,
          CASE event_type WHEN 'view' THEN 'pageview' WHEN 'click' THEN 'click' WHEN 'signup' THEN 'form_submit'
               WHEN 'error' THEN 'scroll' END AS event_name,
-         CASE k % 8 WHEN 0 THEN '/' WHEN 1 THEN '/blog/' WHEN 2 THEN '/pricing/' WHEN 3 THEN '/about/'
-              WHEN 4 THEN '/contact/' WHEN 5 THEN '/blog/post-1/' WHEN 6 THEN '/blog/post-2/'
-              ELSE '/products/' END AS page_url,
+         CASE k % 6 WHEN 0 THEN '/' WHEN 1 THEN '/products/' WHEN 2 THEN '/pricing/'
+              WHEN 3 THEN '/blog/entry-' || user_id || '/' WHEN 4 THEN '/guides/' || k || '/'
+              ELSE '/docs/' || user_id || '/' END AS page_url,
          CASE WHEN event_type = 'error' THEN CAST(event_id % 101 AS INT) END AS scroll_depth_pct,
          CASE WHEN user_id % 20 < 11 THEN 'desktop' WHEN user_id % 20 < 18 THEN 'mobile'
               ELSE 'tablet' END AS device_category
@@ -124,11 +118,12 @@ CTES["question_log"] = """
 
 CTES["sql_log"] = """
   SELECT event_id AS query_id,
-         CASE event_id % 8 WHEN 0 THEN 'SELECT * FROM raw_ga4_sessions'
-              WHEN 1 THEN 'select s.*, d.full_date from fct_sessions s join dim_dates d on s.date_id = d.date_id'
-              WHEN 2 THEN 'DROP TABLE raw_ga4_sessions' WHEN 3 THEN 'SELECT * FROM users'
-              WHEN 4 THEN 'WITH t AS (SELECT 1) SELECT * FROM t' WHEN 5 THEN 'SELECT 1 WHERE ''update'' = ''x'''
-              WHEN 6 THEN 'SELECT url FROM vw_top_pages LIMIT 10' ELSE 'DELETE FROM raw_server_logs' END AS sql_text
+         CASE event_id % 8 WHEN 0 THEN 'SELECT country, COUNT(*) FROM raw_ga4_sessions GROUP BY country'
+              WHEN 1 THEN 'select e.event_name from fct_events e join dim_dates c on c.date_id = e.date_id'
+              WHEN 2 THEN 'TRUNCATE TABLE raw_scrape_pages' WHEN 3 THEN 'SELECT salary FROM payroll'
+              WHEN 4 THEN 'WITH top AS (SELECT url FROM vw_seo) SELECT url FROM top'
+              WHEN 5 THEN 'SELECT ''insert'' AS word' WHEN 6 THEN 'SELECT hour FROM vw_traffic_by_hour LIMIT 24'
+              ELSE 'ALTER TABLE dim_pages ADD COLUMN note TEXT' END AS sql_text
   FROM ev
 """
 

@@ -60,7 +60,7 @@ def _d(x) -> Column:
 
 
 def _latest_date(t) -> Column:
-    return t.ga4.select(F.max("session_date")).scalar()
+    return t.sessions.select(F.max("session_date")).scalar()
 
 
 def default_period(t, start=None, end=None):
@@ -139,7 +139,7 @@ def newret_chart(t) -> DataFrame:
 def behavior_kpis(t) -> DataFrame:
     """D-06: four KPIs; the first is the base aggregate, the rest scalar subqueries."""
     base = V.vw_top_pages(t).agg(F.coalesce(sum_long("total_requests"), F.lit(0)).alias("total_page_views"))
-    avg_t = t.ga4.agg(pg_round(F.avg("session_duration_s"), 1)).scalar()
+    avg_t = t.sessions.agg(pg_round(F.avg("session_duration_s"), 1)).scalar()
     scroll = V.vw_scroll_depth(t).agg(pg_round(F.avg("avg_scroll_depth_pct"), 4)).scalar()
     events = V.vw_engagement_events(t).agg(sum_long("total_events")).scalar()
     return base.select("total_page_views",
@@ -171,8 +171,8 @@ def click_funnel(t) -> DataFrame:
         F.when(e == "form_submit", F.lit("checkout"))), lambda x: x.isNotNull())
     # each event is routed only to the stages it qualifies for, then (stage, session) pairs are
     # de-duplicated with partial aggregation -- no 4x expansion of every event
-    pairs = (t.clicks.where(F.col("session_id").isNotNull())
-             .select(F.explode(stages).alias("stage"), "session_id").distinct())
+    # events without a session count as one session
+    pairs = t.clicks.select(F.explode(stages).alias("stage"), "session_id").distinct()
     n = pairs.groupBy("stage").agg(F.count(F.lit(1)).alias("n"))
     a = n.agg(*[F.coalesce(F.sum(F.when(F.col("stage") == s, F.col("n"))), F.lit(0)).alias(s)
                 for s in ("homepage", "product_page", "add_to_cart", "checkout")])
@@ -211,7 +211,7 @@ def event_totals(t) -> DataFrame:
 def session_duration_distribution(t) -> DataFrame:
     """D-12: five duration buckets (rows with a duration only)."""
     d = F.col("session_duration_s")
-    a = t.ga4.where(d.isNotNull()).agg(
+    a = t.sessions.where(d.isNotNull()).agg(
         count_if(d < 30).alias("b1"), count_if((d >= 30) & (d < 120)).alias("b2"),
         count_if((d >= 120) & (d < 300)).alias("b3"), count_if((d >= 300) & (d < 600)).alias("b4"),
         count_if(d >= 600).alias("b5"))
@@ -461,7 +461,7 @@ def platform_stats(t) -> DataFrame:
     """D-30: table sizes and the GA4 date range in one row."""
     logs = t.logs.agg(F.count(F.lit(1))).scalar()
     clicks = t.clicks.agg(F.count(F.lit(1))).scalar()
-    return t.ga4.agg(F.count(F.lit(1)).alias("ga4_sessions"), F.min("session_date").alias("first_date"),
+    return t.sessions.agg(F.count(F.lit(1)).alias("ga4_sessions"), F.min("session_date").alias("first_date"),
                      F.max("session_date").alias("last_date")) \
         .select("ga4_sessions", logs.alias("server_log_entries"), clicks.alias("clickstream_events"),
                 "first_date", "last_date")

@@ -22,7 +22,7 @@ from webstats.sources.adapters import DIM_END, DIM_START
 
 def _as_of(t, as_of) -> Column:
     if as_of is None:
-        return t.ga4.select(F.max("session_date")).scalar()
+        return t.sessions.select(F.max("session_date")).scalar()
     return F.lit(as_of).cast("date")
 
 
@@ -46,7 +46,7 @@ def _dates_in_range(t, start: str, end: str) -> DataFrame:
 def channel_breakdown(t, start: str = DIM_START, end: str = DIM_END) -> DataFrame:
     """Q-01."""
     s = _fact_in_range(t, start, end)
-    s = s.join(F.broadcast(_dates_in_range(t, start, end).select("date_id")), "date_id")
+    s = s.join(_dates_in_range(t, start, end).select("date_id"), "date_id")
     n = F.count(F.lit(1))
     return s.groupBy("channel_grouping").agg(
         n.alias("sessions"),
@@ -76,14 +76,14 @@ def daily_sessions(t, start: str = DIM_START, end: str = DIM_END) -> DataFrame:
         pg_round(F.avg("session_duration_s"), 2).alias("avg_session_duration_s"),
         sum_long("conversions").alias("conversions"),
         sum_money("revenue").alias("revenue"))
-    d = F.broadcast(_dates_in_range(t, start, end).select("date_id", "full_date", "day_name", "week", "is_weekend"))
+    d = _dates_in_range(t, start, end).select("date_id", "full_date", "day_name", "week", "is_weekend")
     return agg.join(d, "date_id").drop("date_id")
 
 
 def top_pages(t, start: str = DIM_START, end: str = DIM_END) -> DataFrame:
     """Q-03: fact aggregated per page key, then labelled from dim_pages; top 20."""
     s = _fact_in_range(t, start, end).join(
-        F.broadcast(_dates_in_range(t, start, end).select("date_id")), "date_id")
+        _dates_in_range(t, start, end).select("date_id"), "date_id")
     n = F.count(F.lit(1))
     agg = s.where(F.col("page_id").isNotNull()).groupBy("page_id").agg(
         sum_long("pageviews").alias("total_pageviews"),
@@ -102,21 +102,21 @@ def _cvr(n_digits=2):
 
 def cvr_by_date(t):
     """Q-04."""
-    return t.ga4.groupBy("session_date").agg(
+    return t.sessions.groupBy("session_date").agg(
         sum_long("sessions").alias("total_sessions"), sum_long("conversions").alias("total_conversions"),
         _cvr().alias("cvr_pct"))
 
 
 def cvr_by_channel(t):
     """Q-05."""
-    return t.ga4.groupBy("channel_grouping").agg(
+    return t.sessions.groupBy("channel_grouping").agg(
         sum_long("sessions").alias("total_sessions"), sum_long("conversions").alias("total_conversions"),
         _cvr().alias("cvr_pct"), sum_money("revenue").alias("total_revenue"))
 
 
 def cvr_by_device(t):
     """Q-06: NULL device stays a group."""
-    return t.ga4.groupBy("device_category").agg(
+    return t.sessions.groupBy("device_category").agg(
         sum_long("sessions").alias("total_sessions"), sum_long("conversions").alias("total_conversions"),
         _cvr().alias("cvr_pct"))
 
@@ -130,7 +130,7 @@ def cvr_by_landing_page(t):
 
 
 def _period_cvr(t, unit: str, start_name: str, prev_name: str, change_name: str):
-    g = t.ga4.groupBy(F.date_trunc(unit, "session_date").cast("date").alias(start_name)).agg(
+    g = t.sessions.groupBy(F.date_trunc(unit, "session_date").cast("date").alias(start_name)).agg(
         sum_long("sessions").alias("sessions"), sum_long("conversions").alias("conversions"),
         _cvr().alias("cvr_pct"))
     # one row per week / month: the un-partitioned window sees a small frame
@@ -156,7 +156,7 @@ STAGE_NAMES = ["Landing", "Engaged", "Multi-page", "Converted", "Revenue Generat
 def funnel_stage_counts(t):
     """Q-10: one aggregate pass instead of five scans, then one row per stage."""
     d, pv = F.col("session_duration_s"), F.col("pageviews")
-    a = t.ga4.agg(
+    a = t.sessions.agg(
         F.count(F.lit(1)).alias("c1"),
         count_if((d >= 30) | (pv > 1)).alias("c2"),
         count_if(pv > 1).alias("c3"),
@@ -185,7 +185,7 @@ def funnel_dropoff(t):
 
 def funnel_by_channel(t):
     """Q-12."""
-    return t.ga4.groupBy("channel_grouping").agg(
+    return t.sessions.groupBy("channel_grouping").agg(
         sum_long("sessions").alias("total_sessions"),
         sum_if(F.col("pageviews") > 1, F.col("sessions"), otherwise=None).alias("multi_page_sessions"),
         sum_long("conversions").alias("conversions"),
@@ -194,7 +194,7 @@ def funnel_by_channel(t):
 
 def funnel_by_device(t):
     """Q-13: bounce % counts bounced rows over summed sessions (as the reference does)."""
-    return t.ga4.groupBy("device_category").agg(
+    return t.sessions.groupBy("device_category").agg(
         sum_long("sessions").alias("total_sessions"),
         pg_round(F.avg("pageviews"), 2).alias("avg_pages_per_session"),
         pct(sum_if(F.col("bounce"), 1, otherwise=None), F.sum("sessions"), 2).alias("bounce_rate_pct"),
@@ -205,7 +205,7 @@ def funnel_by_device(t):
 def time_to_convert(t):
     """Q-14."""
     conv = F.col("conversions") > 0
-    return t.ga4.groupBy("channel_grouping").agg(
+    return t.sessions.groupBy("channel_grouping").agg(
         count_if(conv).alias("converting_sessions"),
         pg_round(F.avg(F.when(conv, F.col("session_duration_s"))), 1).alias("avg_time_to_convert_s"),
         pg_round(F.avg(F.when(conv, F.col("pageviews"))), 1).alias("avg_pages_before_convert"))
@@ -213,14 +213,14 @@ def time_to_convert(t):
 
 def goals_by_date(t):
     """Q-15."""
-    return t.ga4.groupBy("session_date").agg(
+    return t.sessions.groupBy("session_date").agg(
         sum_long("sessions").alias("total_sessions"), sum_long("conversions").alias("goal_completions"),
         sum_money("revenue").alias("revenue"))
 
 
 def goals_by_source_medium(t):
     """Q-16."""
-    g = t.ga4.groupBy("source", "medium").agg(
+    g = t.sessions.groupBy("source", "medium").agg(
         sum_long("sessions").alias("total_sessions"), sum_long("conversions").alias("goal_completions"),
         _cvr().alias("completion_rate_pct"), sum_money("revenue").alias("revenue"))
     return top_n(g, 20, F.col("goal_completions").desc(), F.col("source").asc_nulls_last(),
@@ -229,7 +229,7 @@ def goals_by_source_medium(t):
 
 def goals_by_channel(t):
     """Q-17."""
-    return t.ga4.groupBy("channel_grouping").agg(
+    return t.sessions.groupBy("channel_grouping").agg(
         sum_long("sessions").alias("total_sessions"), sum_long("conversions").alias("goal_completions"),
         _cvr().alias("completion_rate_pct"), sum_money("revenue").alias("revenue"),
         ratio(F.sum("revenue"), F.sum("conversions"), 2).alias("revenue_per_goal"))
@@ -299,14 +299,14 @@ def _rps():
 
 def revenue_by_date(t):
     """Q-25."""
-    return t.ga4.groupBy("session_date").agg(
+    return t.sessions.groupBy("session_date").agg(
         sum_money("revenue").alias("total_revenue"), sum_long("conversions").alias("conversions"),
         _aov().alias("avg_order_value"))
 
 
 def revenue_by_channel(t):
     """Q-26."""
-    return t.ga4.groupBy("channel_grouping").agg(
+    return t.sessions.groupBy("channel_grouping").agg(
         sum_long("sessions").alias("total_sessions"), sum_long("conversions").alias("conversions"),
         sum_money("revenue").alias("total_revenue"), _rps().alias("revenue_per_session"),
         _aov().alias("avg_order_value"))
@@ -314,7 +314,7 @@ def revenue_by_channel(t):
 
 def revenue_by_device(t):
     """Q-27."""
-    return t.ga4.groupBy("device_category").agg(
+    return t.sessions.groupBy("device_category").agg(
         sum_long("sessions").alias("total_sessions"), sum_money("revenue").alias("total_revenue"),
         _rps().alias("revenue_per_session"), _aov().alias("avg_order_value"))
 
@@ -322,7 +322,7 @@ def revenue_by_device(t):
 def aov_by_channel(t):
     """Q-28."""
     rev = F.col("revenue")
-    return t.ga4.groupBy("channel_grouping").agg(
+    return t.sessions.groupBy("channel_grouping").agg(
         count_if(F.col("conversions") > 0).alias("converting_sessions"),
         _aov().alias("avg_order_value"),
         F.min(F.when(rev > 0, rev)).cast("double").alias("min_order_value"),
@@ -331,7 +331,7 @@ def aov_by_channel(t):
 
 def revenue_per_session(t):
     """Q-29."""
-    return t.ga4.groupBy("channel_grouping").agg(
+    return t.sessions.groupBy("channel_grouping").agg(
         sum_long("sessions").alias("total_sessions"), sum_money("revenue").alias("total_revenue"),
         _rps().alias("revenue_per_session"))
 
@@ -385,7 +385,7 @@ def response_time_by_page(t, approx: bool = False):
 def month_over_month_traffic(t, as_of=None):
     """Q-35: this and last month relative to ``as_of``."""
     since = F.add_months(F.trunc(_as_of(t, as_of), "month"), -1)
-    g = t.ga4.where(F.col("session_date") >= since)
+    g = t.sessions.where(F.col("session_date") >= since)
     return g.groupBy(F.date_format(F.trunc("session_date", "month"), "yyyy-MM").alias("month")).agg(
         sum_long("sessions").alias("total_sessions"), sum_long("pageviews").alias("total_pageviews"),
         pct(sum_if(F.col("bounce"), F.col("sessions")), F.sum("sessions"), 2).alias("bounce_rate_pct"),
@@ -394,7 +394,7 @@ def month_over_month_traffic(t, as_of=None):
 
 def top_channels(t):
     """Q-36."""
-    g = t.ga4.groupBy("channel_grouping").agg(
+    g = t.sessions.groupBy("channel_grouping").agg(
         sum_long("sessions").alias("total_sessions"), sum_long("new_users").alias("total_new_users"),
         sum_long("pageviews").alias("total_pageviews"), pg_round(F.avg("session_duration_s"), 2).alias("avg_duration"))
     return top_n(g, 5, F.col("total_sessions").desc(), F.col("channel_grouping").asc_nulls_last())
@@ -402,7 +402,7 @@ def top_channels(t):
 
 def last_30_days(t, as_of=None):
     """Q-37."""
-    g = t.ga4.where(F.col("session_date") >= F.date_sub(_as_of(t, as_of), 30))
+    g = t.sessions.where(F.col("session_date") >= F.date_sub(_as_of(t, as_of), 30))
     return g.groupBy("session_date").agg(sum_long("sessions").alias("total_sessions"),
                                          sum_long("pageviews").alias("total_pageviews"))
 
@@ -410,7 +410,7 @@ def last_30_days(t, as_of=None):
 def new_vs_returning_total(t):
     """Q-38: one row."""
     s, n = F.sum("sessions"), F.sum("new_users")
-    return t.ga4.agg(s.cast("long").alias("total_sessions"), n.cast("long").alias("new_user_sessions"),
+    return t.sessions.agg(s.cast("long").alias("total_sessions"), n.cast("long").alias("new_user_sessions"),
                      (s - n).cast("long").alias("returning_user_sessions"),
                      pct(n, s, 2).alias("new_pct"), pct(s - n, s, 2).alias("returning_pct"))
 
@@ -421,7 +421,7 @@ def _week(c="session_date"):
 
 def weekly_summary(t):
     """Q-39."""
-    return t.ga4.groupBy(_week().alias("week_start")).agg(
+    return t.sessions.groupBy(_week().alias("week_start")).agg(
         sum_long("sessions").alias("total_sessions"), sum_long("new_users").alias("new_users"),
         sum_long("pageviews").alias("total_pageviews"), pg_round(F.avg("session_duration_s"), 2).alias("avg_session_duration"),
         pct(sum_if(F.col("bounce"), F.col("sessions")), F.sum("sessions"), 2).alias("bounce_rate_pct"))
@@ -429,7 +429,7 @@ def weekly_summary(t):
 
 def wow_growth(t):
     """Q-40."""
-    g = t.ga4.groupBy(_week().alias("week_start")).agg(sum_long("sessions").alias("total_sessions"))
+    g = t.sessions.groupBy(_week().alias("week_start")).agg(sum_long("sessions").alias("total_sessions"))
     prev = F.lag("total_sessions").over(Window.orderBy("week_start"))
     return g.select("week_start", "total_sessions", prev.alias("prev_week_sessions"),
                     pct(F.col("total_sessions") - prev, prev, 2).alias("wow_growth_pct"))

@@ -33,7 +33,7 @@ def report_behavior_input(t) -> DataFrame:
 
 def report_conversion_input(t) -> DataFrame:
     """R-03."""
-    return t.ga4.groupBy("channel_grouping").agg(
+    return t.sessions.groupBy("channel_grouping").agg(
         sum_long("sessions").alias("sessions"), sum_long("conversions").alias("conversions"),
         ratio(F.sum("conversions"), F.sum("sessions"), 2, 100).alias("cvr_pct"),
         sum_money("revenue").alias("revenue"))

@@ -25,18 +25,18 @@ def _bounce_rate(sessions="sessions", bounce="bounce"):
 
 def vw_traffic(t) -> DataFrame:
     """V-01: by date, calendar, channel, source and medium."""
-    agg = (t.ga4.groupBy("session_date", "channel_grouping", "source", "medium")
+    agg = (t.sessions.groupBy("session_date", "channel_grouping", "source", "medium")
            .agg(sum_long("sessions").alias("total_sessions"),
                 sum_long("new_users").alias("new_users"),
                 sum_long("pageviews").alias("total_pageviews"),
                 _bounce_rate().alias("avg_bounce_rate"),
                 pg_round(F.avg("session_duration_s"), 2).alias("avg_session_duration")))
-    # dim_dates is unique per day and bounded by its date range: broadcast it
-    d = F.broadcast(t.dim_dates.select(
+    # dim_dates is unique per day and bounded by its date range: the planner broadcasts it
+    d = t.dim_dates.select(
         F.col("full_date").alias("session_date"), F.col("year").alias("d_year"),
         F.col("month").alias("d_month"), F.col("month_name").alias("d_month_name"),
         F.col("week").alias("d_week"), F.col("day_of_week").alias("d_dow"),
-        F.col("day_name").alias("d_day_name"), F.col("is_weekend").alias("d_weekend")))
+        F.col("day_name").alias("d_day_name"), F.col("is_weekend").alias("d_weekend"))
     sd = F.col("session_date")
     return agg.join(d, "session_date", "left").select(
         "session_date",
@@ -53,7 +53,7 @@ def vw_traffic(t) -> DataFrame:
 
 
 def daily_traffic_base(t) -> DataFrame:
-    return (t.ga4.groupBy("session_date")
+    return (t.sessions.groupBy("session_date")
             .agg(sum_long("sessions").alias("total_sessions"),
                  sum_long("new_users").alias("new_users"),
                  sum_long("pageviews").alias("total_pageviews"),
@@ -69,7 +69,7 @@ def vw_daily_traffic(t) -> DataFrame:
 
 
 def _dim_totals(t, key: str, not_null: bool) -> DataFrame:
-    g = t.ga4.where(F.col(key).isNotNull()) if not_null else t.ga4
+    g = t.sessions.where(F.col(key).isNotNull()) if not_null else t.sessions
     return g.groupBy(key).agg(
         sum_long("sessions").alias("total_sessions"),
         sum_long("new_users").alias("total_new_users"),
@@ -80,7 +80,7 @@ def _dim_totals(t, key: str, not_null: bool) -> DataFrame:
 
 def vw_channel_performance(t) -> DataFrame:
     """V-03."""
-    g = t.ga4.groupBy("channel_grouping").agg(
+    g = t.sessions.groupBy("channel_grouping").agg(
         sum_long("sessions").alias("total_sessions"),
         sum_long("new_users").alias("total_new_users"),
         sum_long("pageviews").alias("total_pageviews"),
@@ -93,7 +93,7 @@ def vw_channel_performance(t) -> DataFrame:
 def vw_new_vs_returning(t) -> DataFrame:
     """V-04."""
     s, n = F.sum("sessions"), F.sum("new_users")
-    return t.ga4.groupBy("session_date").agg(
+    return t.sessions.groupBy("session_date").agg(
         s.cast("long").alias("total_sessions"),
         n.cast("long").alias("new_user_sessions"),
         (s - n).cast("long").alias("returning_user_sessions"),
@@ -206,7 +206,7 @@ def vw_conversions(t) -> DataFrame:
     channel gives the same rate without a join (NULL channels are dropped,
     as by the reference's inner join).
     """
-    g = (t.ga4.where(F.col("channel_grouping").isNotNull())
+    g = (t.sessions.where(F.col("channel_grouping").isNotNull())
          .groupBy("session_date", "channel_grouping", "source", "medium")
          .agg(sum_long("sessions").alias("sessions"),
               sum_long("new_users").alias("new_users"),
@@ -228,7 +228,7 @@ FUNNEL_STAGES = ["All Sessions", "Entry Intent", "Exploration", "Engaged", "Conv
 
 def funnel_totals(t) -> DataFrame:
     d, pv, s = F.col("session_duration_s"), F.col("pageviews"), F.col("sessions")
-    return t.ga4.agg(
+    return t.sessions.agg(
         sum_long(s).alias("s1"),
         sum_if(d > 10, s).alias("s2"),
         sum_if((pv >= 2) & (d > 10), s).alias("s3"),
@@ -358,7 +358,7 @@ def vw_seo(t) -> DataFrame:
 
 def vw_funnel_daily(t) -> DataFrame:
     """V-18 (the shadowed vw_funnel definition): by date and channel."""
-    return t.ga4.groupBy("session_date", "channel_grouping").agg(
+    return t.sessions.groupBy("session_date", "channel_grouping").agg(
         sum_long("sessions").alias("step1_sessions"),
         sum_long("new_users").alias("step2_new_users"),
         sum_if(~F.col("bounce"), F.col("sessions"), otherwise=None).alias("step3_engaged"),

@@ -65,10 +65,10 @@ PARTITION_BY = {"raw_ga4_sessions": "session_date", "raw_server_logs": "log_date
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Cast to the table's schema: missing columns become NULL, extra ones are dropped."""
+    """Cast to the table's schema: missing columns become NULL, extra ones are dropped; a value that does not fit raises."""
     have = set(df.columns)
     cols = []
     for f in SCHEMAS[table].fields:
         src = F.col(f.name) if f.name in have else F.lit(None)
-        cols.append(src.try_cast(f.dataType).alias(f.name) if f.name in have else src.cast(f.dataType).alias(f.name))
+        cols.append(src.cast(f.dataType).alias(f.name))
     return df.select(*cols)

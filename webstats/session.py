@@ -74,13 +74,15 @@ def cluster_conf(input_tb: float, total_cores: int, target_partition_mb: int = 2
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    A local temporary folder is only used when the setting is absent, which
-    happens in unit tests, never on a configured cluster.
+    A local temporary folder is only used in local mode (tests); on a cluster a
+    missing setting is an error, since executors do not share the driver's disk.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="webstats-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     return d

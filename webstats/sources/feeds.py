@@ -117,7 +117,7 @@ def scrape_feed(t) -> DataFrame:
     head = F.regexp_extract("url", r"^([^:/?#]+://[^/?#]*)", 1)
     url = (F.when(pid % 23 == 0, F.lit(""))
            .when(pid % 29 == 0, F.regexp_replace("url", r"^[^:/?#]+://", ""))
-           .when(pid % 7 == 0, F.concat(F.upper(head), F.col("url").substr(F.length(head) + 1, F.lit(100000)), F.lit("/")))
+           .when(pid % 7 == 0, F.concat(F.upper(head), F.col("url").substr(F.length(head) + 1, F.length("url")), F.lit("/")))
            .otherwise(F.col("url")))
     m = (pid + crawl) % 5
     return p.select(

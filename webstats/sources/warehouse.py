@@ -84,6 +84,10 @@ class WarehouseTables(Tables):
     def ga4(self) -> DataFrame:
         return self._t("raw_ga4_sessions")
 
+    @cached_property
+    def sessions(self) -> DataFrame:
+        return self.ga4.drop("landing_page")
+
     @cached_property
     def logs(self) -> DataFrame:
         return self._t("raw_server_logs")
