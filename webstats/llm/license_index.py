@@ -66,7 +66,8 @@ def _template_words(notice: str) -> list[str]:
 def word_idf(df: DataFrame, vocabulary: list[str], text: str = "text") -> dict[str, float]:
     """Inverse document frequency, over all rows, of the words of a fixed vocabulary."""
     hits = df.select(F.array_intersect(words_of(whole_text(text)), F.array(*map(F.lit, vocabulary))).alias("w"))
-    rows = hits.select(F.explode(F.concat("w", F.array(F.lit("")))).alias("w")).groupBy("w").count().collect()
+    # the outer form: the plain one adds a filter on the array, pushed below, where it would tokenise again
+    rows = hits.select(F.explode_outer(F.concat("w", F.array(F.lit("")))).alias("w")).groupBy("w").count().collect()
     found = {r["w"]: r["count"] for r in rows}
     n = found.get("", 0)
     return {w: math.log((n + 1) / (found.get(w, 0) + 1)) for w in vocabulary}
