@@ -30,31 +30,28 @@ WINDOW = 8                  # a power of two
 LEAST_WORDS = 13
 BROADCAST_ROWS = 1_000_000  # 32 bytes each
 
-TOKEN = r"[\p{L}\p{M}]+|\p{N}+(?:[.,]\p{N}+)*|[.!?\n]"
+NUMBER, NAME, UNIT = "0", "1", "2"     # placeholders; digits, since no other digit is left
+VALUE = r"[\p{L}\p{M}]+|\p{N}+(?:[.,]\p{N}+)*"
+TOKEN = r"[\p{L}\p{M}]+|\p{N}"
 UNITS = ["mm", "cm", "m", "km", "mg", "g", "kg", "t", "ml", "l", "s", "sec", "min", "h", "hours", "minutes", "seconds",
          "days", "years", "miles", "feet", "inches", "pounds", "dollars", "euros", "usd", "eur", "percent", "degrees"]
 
 
 def template_tokens(text: Column) -> Column:
-    """Array of (token, value): the words of a text; ``value`` holds what a placeholder stands for, else null."""
-    raw = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
-
-    def typed(w: Column, i: Column, all_: Column) -> Column:
-        before = F.when(i > 0, F.get(all_, i - 1))
-        head = F.substring(w, 1, 1)
-        mark = head.isin(".", "!", "?", "\n")
-        number = head.rlike(r"\p{N}")
-        inside = before.isNotNull() & ~F.coalesce(before.isin(".", "!", "?", "\n"), F.lit(True))
-        name = inside & (head != F.lower(head)) & (F.substring(w, 2, 1) != F.upper(F.substring(w, 2, 1)))
-        unit = F.lower(w).isin(UNITS) & F.coalesce(F.substring(before, 1, 1).rlike(r"\p{N}"), F.lit(False))
-        plain = ~(number | name | unit)
-        token = (F.when(mark, F.lit(None).cast("string")).when(number, F.lit("#number")).when(unit, F.lit("#unit"))
-                 .when(name, F.lit("#name")).otherwise(F.lower(w)))
-        return F.struct(token.alias("token"), F.when(~plain, F.lower(w)).alias("value"))
-
-    # a one-element array stands for a local name: the token array is computed once per text
-    typed_all = F.flatten(F.transform(F.array(raw), lambda all_: F.transform(all_, lambda w, i: typed(w, i, all_))))
-    return F.filter(typed_all, lambda x: x["token"].isNotNull())
+    """The words of a text, folded, with placeholders for numbers, names and units.
+
+    Three replacements over the whole text cost far less than a look at every
+    word.  Token ``i`` stands for value ``i`` of ``slot_values``.
+    """
+    numbers = F.regexp_replace(text, r"\p{N}+(?:[.,]\p{N}+)*", NUMBER)
+    names = F.regexp_replace(numbers, r"(?<=[^.!?\s]\s)\p{Lu}\p{Ll}[\p{L}\p{M}]*", NAME)
+    units = F.regexp_replace(F.lower(names), rf"(?<={NUMBER}) ?(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{M}}])", f" {UNIT}")
+    return F.regexp_extract_all(units, F.lit(TOKEN), F.lit(0))
+
+
+def slot_values(text: Column) -> Column:
+    """What stands in the text at each template token."""
+    return F.transform(F.regexp_extract_all(text, F.lit(VALUE), F.lit(0)), lambda w: F.lower(w))
 
 
 def window_hashes(tokens: Column, window: int = WINDOW) -> Column:
@@ -66,7 +63,7 @@ def window_hashes(tokens: Column, window: int = WINDOW) -> Column:
         return F.flatten(F.transform(F.array(h), lambda x: F.zip_with(
             x, F.slice(x, 1 + reach, F.greatest(n, F.lit(1))), lambda a, b: F.xxhash64(a, b))))
 
-    out, reach = F.transform(tokens, lambda x: F.xxhash64(x["token"])), 1
+    out, reach = F.transform(tokens, lambda x: F.xxhash64(x)), 1
     while reach < window:
         out, reach = doubled(out, reach), reach * 2
     return F.when(n >= window, F.slice(out, 1, F.greatest(n - (window - 1), F.lit(1)))).otherwise(F.array().cast("array<bigint>"))
@@ -75,7 +72,8 @@ def window_hashes(tokens: Column, window: int = WINDOW) -> Column:
 def _windows(df: DataFrame, key: str, text: str, pos: str, window: int) -> DataFrame:
     tokens = df.select(F.col(key).cast("long").alias(key), template_tokens(whole_text(text)).alias("tokens"))
     hashes = tokens.select(key, window_hashes(F.col("tokens"), window).alias("w"))
-    return hashes.select(key, F.posexplode("w").alias(pos, "h"))
+    # the outer form: the plain one adds a filter on the array's size, pushed below, where it would tokenise again
+    return hashes.select(key, F.posexplode_outer("w").alias(pos, "h")).where(F.col("h").isNotNull())
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str = "item_id",
@@ -97,14 +95,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
     # slots of the aligned stretch, for the documents and items found
     ids = best.select("doc_id").distinct()
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-    own = docs.join(ids, "doc_id").select("doc_id", template_tokens(whole_text("text")).alias("a"))
-    theirs = items.select("item_id", template_tokens(whole_text("text")).alias("b"))
+    sides = lambda out: F.arrays_zip(template_tokens(whole_text("text")).alias("token"), slot_values(whole_text("text")).alias("value")).alias(out)
+    own = docs.join(ids, "doc_id").select("doc_id", sides("a"))
+    theirs = items.select("item_id", sides("b"))
     both = own.join(best, "doc_id").join(theirs, "item_id")
     here = F.slice("a", F.greatest(F.col("offset"), F.lit(0)) + 1, F.size("b"))
     there = F.slice("b", F.greatest(-F.col("offset"), F.lit(0)) + 1, F.size("b"))
     slots = F.filter(F.zip_with(there, here, lambda b, a: F.struct(
         b["token"].alias("kind"), b["value"].alias("theirs"), F.when(a["token"] == b["token"], a["value"]).alias("own"))),
-        lambda s: s["theirs"].isNotNull() & s["own"].isNotNull())
+        lambda s: s["kind"].isin(NUMBER, NAME, UNIT) & s["own"].isNotNull())
     pairs = F.array_distinct(slots)
     values = F.array_distinct(F.transform(pairs, lambda s: F.struct(s["kind"], s["theirs"])))
     return (both.withColumn("slots", slots).where(F.size(pairs) == F.size(values))
