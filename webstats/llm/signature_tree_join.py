@@ -249,10 +249,11 @@ def link_classes(df: DataFrame, text: str = "text", key: str = "doc_id", shingle
     if not large_sizes.isEmpty():
         done = done.union(_large_blocks(members.join(large_sizes, "block"), percent))
 
-    out = (settled.select("id", "n", "digest").join(twins, "digest", "left")
-           .join(done, "rep", "left"))
-    return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"),
-                      F.coalesce("component", "rep", "id").alias("component_id"))
+    # settled documents have no digest: they pass by the joins, or one task would get them all
+    settled_alone = settled.where("digest IS NULL").select("id", "n", F.col("id").alias("component_id"))
+    linked = (settled.where("digest IS NOT NULL").select("id", "n", "digest").join(twins, "digest").join(done, "rep", "left")
+              .select("id", "n", F.coalesce("component", "rep").alias("component_id")))
+    return linked.union(settled_alone).select(F.col("id").alias(key), F.col("n").alias("n_shingles"), "component_id")
 
 
 def _large_blocks(members: DataFrame, percent: int) -> DataFrame:
