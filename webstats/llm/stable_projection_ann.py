@@ -8,8 +8,8 @@ with that many degrees of freedom.
 
 Rows are dealt out to tasks, each of which indexes its rows by a kd-tree over
 the projections.  A query visits the leaves in order of their projected
-distance and verifies the rows with exact inner products, until the next leaf is
-so far that, by the chi-square test, a row beyond it that is nearer than the
+distance, in rounds of growing length, and verifies the rows with exact inner
+products, until the next leaf is so far that, by the chi-square test, a row beyond it that is nearer than the
 query's present k-th neighbour would have shown a smaller projected distance
 with probability ``CERTAINTY``.  The k best of every task are merged.
 
@@ -37,6 +37,7 @@ CERTAINTY = 0.9
 LEAF = 64
 BLOCK_ROWS = 8_192          # rows indexed together
 BLOCK_QUERIES = 1_024       # queries that travel together
+FIRST_LEAVES, GROWTH = 4, 4  # leaves a query verifies in its first round, and how that number grows
 SEED = 77
 
 
@@ -103,27 +104,43 @@ class BlockIndex:
         self.tree = KdTree(np.hstack([self.vectors, rest[:, None]]) @ basis)
 
     def search(self, qids: np.ndarray, queries: np.ndarray, k: int, limit: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """``(query id, ids, scores)`` of each query's best rows of this block."""
+        """``(query id, ids, scores)`` of each query's best rows of this block.
+
+        Queries advance together: in each round the open ones verify their next leaves, one matrix product a leaf,
+        and those that pass the test close.  The best are scored again pair by pair, so that equal vectors tie exactly.
+        """
         near = self.tree.distances(queries @ self.basis[:-1])
         visit = np.argsort(near, axis=1, kind="stable")
         norms = np.einsum("ij,ij->i", queries, queries)
+        scores = np.full((len(queries), len(self.ids)), -np.inf)
+        own = np.searchsorted(self.ids, qids, "left"), np.searchsorted(self.ids, qids, "right")
+        worst = np.full(len(queries), -np.inf)          # score of the present k-th neighbour
+        is_open, at, step = np.arange(len(queries)), 0, FIRST_LEAVES
+        while len(is_open):
+            leaves = visit[is_open, at:at + step]
+            by_leaf = np.argsort(leaves, axis=None, kind="stable")
+            starts = np.searchsorted(leaves.ravel()[by_leaf], np.arange(len(self.tree.bounds) + 1))
+            for leaf, (a, b) in enumerate(self.tree.bounds):
+                asking = is_open[by_leaf[starts[leaf]:starts[leaf + 1]] // leaves.shape[1]]
+                if len(asking):
+                    rows = self.tree.order[a:b]
+                    scores[np.ix_(asking, rows)] = queries[asking] @ self.vectors[rows].T
+            for i in is_open:
+                scores[i, own[0][i]:own[1][i]] = -np.inf
+            if k <= scores.shape[1]:
+                worst[is_open] = np.partition(scores[is_open], -k, axis=1)[:, -k]
+            at += step
+            step *= GROWTH
+            if at >= visit.shape[1]:
+                break
+            distance = np.maximum(norms[is_open] + self.square - 2 * worst[is_open], 0.0)
+            is_open = is_open[near[is_open, visit[is_open, at]] <= limit * distance]
+        slack = 1e-12 * np.sqrt(norms * self.square)    # above the rounding of the matrix product
         for i, q in enumerate(queries):
-            ids, scores = np.zeros(0, np.int64), np.zeros(0)
-            at, step = 0, 2
-            while at < len(visit[i]):
-                leaves = visit[i, at:at + step]
-                rows = np.concatenate([self.tree.order[slice(*self.tree.bounds[x])] for x in leaves])
-                rows = rows[self.ids[rows] != qids[i]]
-                ids = np.concatenate((ids, self.ids[rows]))
-                scores = np.concatenate((scores, np.einsum("ij,j->i", self.vectors[rows], q)))
-                best = np.lexsort((ids, -scores))[:k]
-                ids, scores = ids[best], scores[best]
-                at += step
-                if len(ids) == k and at < len(visit[i]):
-                    distance = max(norms[i] + self.square - 2 * scores[-1], 0.0)
-                    if near[i, visit[i, at]] > limit * distance:
-                        break
-            yield int(qids[i]), ids, scores
+            rows = np.flatnonzero((scores[i] >= worst[i] - slack[i]) & (scores[i] > -np.inf))
+            exact = np.einsum("ij,j->i", self.vectors[rows], q)
+            best = np.lexsort((self.ids[rows], -exact))[:k]
+            yield int(qids[i]), self.ids[rows[best]], exact[best]
 
 
 def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
