@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from webstats.plans.registry import register
 from webstats.plans.views import VIEWS
 
@@ -19,6 +21,23 @@ def _dim_pages(t):
     # the surrogate key is a hash; leave it out of the comparable result
     return t.dim_pages.drop("page_id")
 
+
+def _with_page(t, fact, key):
+    # page keys are resolved to their URL, row keys (hashes) left out of the comparable result
+    pages = t.dim_pages.select("page_id", F.col("url").alias("page_url"))
+    return fact.join(pages, "page_id", "left").drop("page_id", key)
+
+
+@register("fct_sessions")
+def _fct_sessions(t):
+    return _with_page(t, t.fct_sessions, "session_key").withColumn("revenue", F.col("revenue").cast("double"))
+
+
+@register("fct_events")
+def _fct_events(t):
+    return _with_page(t, t.fct_events, "event_key").withColumn("event_value", F.col("event_value").cast("double"))
+
+
 from webstats.plans.queries import STORED  # noqa: E402
 
 for _name, _fn in STORED.items():
