@@ -18,7 +18,7 @@ from webstats.llm.license_index import license_vocabulary, scan_licenses, word_i
 from webstats.llm.markov_secrets import fit_models, redact, scan_secrets
 from webstats.llm.minimax_sharding import shard_minimax, smallest_capacity
 from webstats.llm.signature_tree_join import link_classes
-from webstats.llm.stable_projection_ann import chi_square_quantile, nearest
+from webstats.llm.stable_projection_ann import BlockIndex, chi_square_quantile, nearest, projection
 from webstats.llm.superkmer_dedup import dedup_substrings
 from webstats.llm.tagpath_extract import extract_main_text, main_text
 from webstats.llm.template_decontamination import drop_contaminated, find_contamination
@@ -344,6 +344,21 @@ def test_neighbours_odd_rows(spark):
     assert nearest(df, empty(df), "vec_id", "v").count() == 0
 
 
+def test_block_search_equals_brute_force_with_ties():
+    rng = np.random.default_rng(5)
+    vectors = rng.standard_normal((700, 24))
+    vectors[300:500] = vectors[0]                       # a large group of copies
+    ids = rng.permutation(700).astype(np.int64) * 3
+    largest = float(np.sqrt((vectors ** 2).sum(1).max())) * (1 + 1e-12)
+    index = BlockIndex(ids, vectors, largest, projection(24))
+    for i, (qid, got, score) in zip(range(0, 700, 50), index.search(ids[::50], vectors[::50], 20, 1e9)):
+        exact = np.einsum("ij,j->i", vectors, vectors[i])
+        best = [j for j in np.lexsort((ids, -exact)) if ids[j] != ids[i]][:20]
+        assert qid == ids[i] and got.tolist() == ids[best].tolist() and score.tolist() == exact[best].tolist()
+    (_, got, _), = BlockIndex(ids[:5], vectors[:5], largest, projection(24)).search(ids[:1], vectors[:1], 20, 1e9)
+    assert len(got) == 4                                # fewer candidates than asked for
+
+
 def test_chi_square_quantile():
     for degrees, want in ((2, 4.605), (8, 13.362), (12, 18.549)):
         assert abs(chi_square_quantile(0.9, degrees) - want) < 1e-3
