@@ -191,6 +191,27 @@ def test_shards(spark, documents, odd):
     assert shard_minimax(empty(odd), 4).count() == 0
 
 
+@pytest.mark.parametrize("third", [False, True])
+def test_shard_cuts_read_few_sums(spark, monkeypatch, third):
+    from webstats.llm import minimax_sharding as M
+    rng = np.random.default_rng(8)
+    sizes = rng.integers(1, 3_000, 20_000).tolist()
+    if third:
+        sizes[7_000] = sum(sizes) // 2
+    rows = sorted((sha(str(i))[:32], s) for i, s in enumerate(sizes))
+    df = spark.createDataFrame(rows, "digest string, size long").coalesce(1).cache()
+    read, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: read.extend(out := collect(self)) or out)
+    monkeypatch.setattr(M, "FIRST_DIGITS", 2)
+    monkeypatch.setattr(M, "NEXT_DIGITS", 1)
+    capacity, cuts = M.cut_digests(df, 8)
+    want, ends = smallest_capacity([s for _, s in rows], 8)
+    assert capacity == want
+    for cut, end in zip(cuts, ends):        # a cut may be the first digits of its group, if no other has them
+        assert [d >= cut for d, _ in rows] == [i >= end for i in range(len(rows))]
+    assert len(read) < 4_000
+
+
 # --- language ID -------------------------------------------------------------------------------------------------
 
 def test_language_accuracy(spark):
