@@ -327,6 +327,34 @@ def test_page_without_article():
     assert main_text(page) == "Head\nA long, long text; with marks, and so on.\nx < y z\none\ntwo"
 
 
+STORY = "<p>First, a long sentence; with marks, and so on.</p><p>Second, a long sentence; with marks, and more.</p>"
+STORY_TEXT = "First, a long sentence; with marks, and so on.\nSecond, a long sentence; with marks, and more."
+OTHER, OTHER_TEXT = "<p>Third, a rather long sentence; with marks, too.</p>", "Third, a rather long sentence; with marks, too."
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<body class='has-sidebar'><article>{STORY}</article></body>", STORY_TEXT),
+    (f"<body class=sidebar><article>{STORY}</article></body>", STORY_TEXT),
+    (f"<body><div class=widget><main>{STORY}</main></div><div class=widget>{OTHER}</div></body>", STORY_TEXT),
+    (f"<body><div class='overflow-hidden'><div>{STORY}</div></div></body>", STORY_TEXT),
+    (f"<body><div style='overflow: hidden' title='hidden gem'><div>{STORY}</div></div></body>", STORY_TEXT),
+    (f"<body><form action=/x><div>{STORY}</div></form></body>", STORY_TEXT),
+    (f"<body><div class=page><div class=el-widget>{STORY}</div><div class=el-widget>{OTHER}</div></div></body>", STORY_TEXT + "\n" + OTHER_TEXT),
+    (f"<body><article><div class='article-header'><h1>Head</h1></div>{STORY}</article></body>", "Head\n" + STORY_TEXT),
+    (f"<body><article><div class='header'><h1>Head</h1></div>{STORY}</article></body>", "Head\n" + STORY_TEXT),
+    (f"<body><div><div class='post-header'><h1>Head</h1></div>{STORY}</div></body>", "Head\n" + STORY_TEXT),
+    (f"<body><div><section>{STORY * 3}</section><section>{OTHER}</section></div></body>", "\n".join([STORY_TEXT] * 3 + [OTHER_TEXT])),
+    (f"<body><article>{STORY}</article><article>{OTHER}</article><div>Imprint</div></body>", STORY_TEXT + "\n" + OTHER_TEXT),
+    (f"<body><main><article>{STORY}</article><h2>Next</h2><article>{OTHER}</article></main></body>", STORY_TEXT + "\nNext\n" + OTHER_TEXT),
+    (f"<body><div>{STORY * 3}</div><article>{OTHER}</article></body>", "\n".join([STORY_TEXT] * 3 + [OTHER_TEXT])),
+    # what names itself as something else still goes
+    (f"<body><article>{STORY}</article><article class=comment>{OTHER}</article></body>", STORY_TEXT),
+    (f"<body><div id=story>{STORY}</div><div class=reader-comments>{OTHER * 5}</div></body>", STORY_TEXT),
+    (f"<body><div class=ad>{OTHER}</div><article>{STORY}<div class='ad-slot'>{OTHER}</div></article></body>", STORY_TEXT)])
+def test_page_keeps_all_of_its_article(page, want):
+    assert main_text(page) == want
+
+
 def test_pages_odd_rows(spark):
     rows = [(1, None, "a"), (2, "", "b"), (3, "plain &amp; text", None), (4, "<p", "c"), (5, "<nav>x</nav>", "d"), (5, "<nav>x</nav>", "d"),
             (6, "<article>" + "<p>word, word.</p>" * 20_000 + "</article>", "e"), (7, "<!-- only", "f")]

@@ -4,10 +4,15 @@ A page is cut into blocks of text, each with its path of block-level tags from
 the root.  Text length and punctuation are aggregated per path and divided by
 its nodes; both ratios are smoothed along the page, fused (with the share of
 text outside links), and paths above the page's threshold are content.  The
-content node is the article or main element above them, or else the deepest
-node that holds most of their text; all its blocks are the main text, except
-for parts that name themselves as something else (menus, adverts, notices,
-forms, reader comments, ...).
+main text is every article and main element, if these hold half of the content
+or more, or else the lowest common ancestor of all content; all blocks below are
+taken, except for parts that name themselves as something else (menus, adverts,
+notices, forms, reader comments, ...).
+
+Names in classes and ids are only hints: html, body, and what holds an article
+or main element never count as such a part, nor does a name whose elements hold
+half of the text (nine tenths, for names of reader comments), nor the header of
+an article.
 
 Defined results: null, empty or tag-free html - plain text is one block - and
 pages without content give the empty string or what text there is; unclosed and
@@ -31,7 +36,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
                    "s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("head title script style noscript template textarea select option button svg iframe object canvas audio "
-                   "video map form fieldset input dialog".split())
+                   "video map fieldset input dialog".split())
 ASIDE = frozenset("nav footer aside menu".split())
 CONTAINERS = frozenset("article main".split())
 #: parts of class, id and role values that tell what is not the article
@@ -40,6 +45,13 @@ TELLING = frozenset("ad ads adv advert adverts advertisement advertising banner
                     "masthead menu modal navbar navigation nav newsletter notice notices pager pagination paywall popup promo "
                     "promoted recommended related replies respond search share sharing sidebar signup social sponsor sponsored "
                     "subscribe tags toolbar widget alert".split())
+#: names of the readers' part, which can be longer than the article; elsewhere an article is never named away
+READERS = frozenset("comment comments commentlist disqus replies respond".split())
+#: words that make a name a state or the article's own
+STATES = frozenset("has no not is with without show hide enable overflow js".split())
+OWN = frozenset("article post entry story content page".split())
+ROOTS = frozenset("html body".split())
+HELD, HELD_READERS = 0.5, 0.9
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
              "option": {"option"}, "p": {"p"}}
 LIST_OF = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"},
@@ -47,34 +59,55 @@ LIST_OF = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table
 
 PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|noscript|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|"
                    r"</?([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、؟]")
 
 
-def _tells(tag: str, attributes: str) -> bool:
-    """The element says that it is not part of the article."""
-    if tag in SILENT or tag in ASIDE:
-        return True
-    if attributes:
-        for name, a, b, c in ATTRIBUTE.findall(attributes):
-            value = a or b or c
-            name = name.lower()
-            if name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
-            if name in ("class", "id", "role") and any(x.lower() in TELLING for x in NAME_PART.findall(value)):
-                return True
-    return False
+def _telling_words(name: str) -> set[str]:
+    """The words of a class or id that tell what is not the article."""
+    parts = [x.lower() for x in NAME_PART.findall(name)]
+    if len(parts) < 2:
+        return TELLING.intersection(parts)
+    if parts[0] in STATES:
+        return set()
+    return TELLING.intersection(parts) - {"hidden"} - ({"header"} if OWN.intersection(parts) else set())
+
+
+def _tells(tag: str, attributes: str, inside: bool) -> tuple[bool, frozenset[str]]:
+    """Whether the element says that it is not part of the article, and the names by which it may say so."""
+    if tag in ROOTS:
+        return False, frozenset()
+    if tag in SILENT or tag in ASIDE or tag == "header" and not inside:
+        return True, frozenset()
+    names = {"<form>"} if tag == "form" else set()
+    for name, a, b, c in ATTRIBUTE.findall(attributes or ""):
+        value, name = a or b or c, name.lower()
+        if name == "hidden" or name == "aria-hidden" and value == "true":
+            return True, frozenset()
+        if name == "role" and tag not in CONTAINERS and value.lower() in TELLING:
+            return True, frozenset()
+        if name in ("class", "id"):
+            for token in value.split():
+                words = _telling_words(token)
+                if words & READERS or words - ({"header"} if inside else set()) and tag not in CONTAINERS:
+                    names.add(token)
+    return False, frozenset(names)
 
 
 class Page:
-    """The blocks of a page: text, link characters, path of tags, node numbers, and whether some element tells against it."""
+    """The blocks of a page: text, link characters, path of tags, node numbers, and whether some element tells against it.
+
+    ``names`` holds the telling names of nodes, ``holders`` the nodes above an article or main element.
+    """
 
     def __init__(self, source: str):
         self.blocks: list[tuple[str, int, tuple[str, ...], tuple[int, ...], bool]] = []
         self.stack: list[tuple[str, int, bool]] = []
         self.text: list[str] = []
         self.linked, self.links, self.nodes = 0, 0, 0
+        self.names: dict[int, frozenset[str]] = {}
+        self.holders: set[int] = set()
         at = 0
         for m in PIECE.finditer(source):
             if m.start() > at:
@@ -119,8 +152,12 @@ class Page:
         if tag in VOID or attributes.rstrip().endswith("/") and tag in SILENT:
             return
         inside = any(t in CONTAINERS for t, _, _ in self.stack)
-        tells = _tells(tag, attributes) or tag == "header" and not inside
+        tells, names = _tells(tag, attributes, inside)
         self.nodes += 1
+        if names:
+            self.names[self.nodes] = names
+        if tag in CONTAINERS and not tells and not names and not any(x for _, _, x in self.stack):
+            self.holders.update(n for _, n, _ in self.stack)
         self.stack.append((tag, self.nodes, tells))
 
     def _close_open(self, tag: str) -> None:
@@ -140,7 +177,7 @@ def main_text(source: str | None) -> str:
     """The main text of a page, its blocks joined by line feeds."""
     if not source:
         return ""
-    blocks = [b for b in Page(source).blocks if not b[4]]
+    blocks = _unnamed(Page(source))
     if not blocks:
         return ""
     totals: dict[tuple[str, ...], list[float]] = {}
@@ -163,27 +200,50 @@ def main_text(source: str | None) -> str:
     chosen = [b for b in blocks if score[b[2]] >= threshold and score[b[2]] > 0]
     if not chosen:
         return ""
-    node = _content_node(chosen)
-    return "\n".join(b[0] for b in blocks if node is None or node in b[3])
-
-
-def _content_node(chosen: list) -> int | None:
-    """The article or main element with most of the chosen text, or the deepest node with nearly all of it."""
-    held: dict[int, int] = {}
-    outer: dict[int, int] = {}
-    depth: dict[int, int] = {}
-    for text, _, path, nodes, _ in chosen:
-        for i, (t, n) in enumerate(zip(path, nodes)):
-            held[n] = held.get(n, 0) + len(text)
-            depth[n] = i
-            if t in CONTAINERS:
-                outer[n] = held[n]
-    if outer:
-        most = max(held[n] for n in outer)
-        return max((n for n in outer if held[n] == most), key=lambda n: (depth[n], -n))
+    nodes = _content_nodes(blocks, chosen)
+    return "\n".join(b[0] for b in blocks if nodes is None or not nodes.isdisjoint(b[3]))
+
+
+def _unnamed(page: Page) -> list:
+    """The blocks outside the parts that say they are something else."""
+    blocks = [b for b in page.blocks if not b[4]]
+    if not page.names:
+        return blocks
+    base = [b for b in blocks if not CONTAINERS.isdisjoint(b[2])] or blocks
+    held: dict[str, int] = {}
+    for text, _, _, nodes, _ in base:
+        for name in {x for n in nodes for x in page.names.get(n, ())}:
+            held[name] = held.get(name, 0) + len(text)
+    total = sum(len(b[0]) for b in base)
+    least = lambda name: HELD_READERS if _telling_words(name) & READERS else HELD      # noqa: E731
+    wraps = {name for name, n in held.items() if n >= least(name) * total}
+    told = {n for n, names in page.names.items() if n not in page.holders and names - wraps}
+    return [b for b in blocks if told.isdisjoint(b[3])]
+
+
+def _content_nodes(blocks: list, chosen: list) -> set[int] | None:
+    """Nodes whose blocks are the main text: articles and main elements, or a common ancestor of all content; None: all."""
+    within = [b for b in blocks if not CONTAINERS.isdisjoint(b[2])]
     total = sum(len(b[0]) for b in chosen)
-    inner = [n for n in held if held[n] >= 0.8 * total and n not in {b[3][-1] for b in chosen if b[3]}]
-    return max(inner, key=lambda n: (depth[n], -n)) if inner else None
+    if 2 * sum(len(b[0]) for b in chosen if not CONTAINERS.isdisjoint(b[2])) >= total:
+        # the innermost container of each block; a common container takes in what stands between them
+        inner = {max((i, n) for i, (t, n) in enumerate(zip(b[2], b[3])) if t in CONTAINERS)[1] for b in within}
+        common = _common(within)
+        return {common[-1][1]} if common and common[-1][0] in CONTAINERS else inner
+    common = _common(chosen + within)
+    if common and all(b[3][-1] == common[-1][1] for b in chosen + within):
+        common = common[:-1]
+    return {common[-1][1]} if common else None
+
+
+def _common(blocks: list) -> list[tuple[str, int]]:
+    """Tags and nodes above all blocks."""
+    out = []
+    for steps in zip(*(zip(b[2], b[3]) for b in blocks)):
+        if any(x != steps[0] for x in steps):
+            break
+        out.append(steps[0])
+    return out
 
 
 def extract_main_text(df: DataFrame, html: str = "html", out: str = "text") -> DataFrame:
