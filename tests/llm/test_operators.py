@@ -147,6 +147,22 @@ def test_contamination_templates(spark, odd):
     assert find_contamination(odd, bench).count() == 0
 
 
+def test_contamination_of_every_place(spark):
+    five = "Tom put 5 apples and 5 pears into the basket of his old neighbour and then he walked home slowly"
+    bench = spark.createDataFrame([(1, ITEM), (2, five)], "item_id long, text string")
+    bad = ITEM.replace("Anna bought", "Berta bought")
+    quote = ITEM[:ITEM.index(" near the river")]
+    docs = spark.createDataFrame([
+        (1, ITEM.lower()), (2, ITEM.upper()),                                             # other letter case
+        (3, bad + " " + ITEM), (4, bad + " And then. " + bad),                            # a consistent place after another one
+        (5, five.replace("5 apples", "3 apples").replace("5 pears", "4 pears")),          # equal by chance
+        (6, quote + " by a road where nobody at all had Berta seen or Carla met"),        # other text after a quote
+        (7, bad.lower())], "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r for r in find_contamination(docs, bench).collect()}
+    assert sorted(found) == [(1, 1), (2, 1), (3, 1), (5, 2), (6, 1), (7, 1)]
+    assert found[3, 1]["offset"] == len(bad.rstrip(".").split()) and found[3, 1]["coverage"] == 1
+
+
 # --- sharding ----------------------------------------------------------------------------------------------------
 
 def contiguous(sizes, shards):
@@ -451,6 +467,20 @@ def test_pipeline(spark, documents, library):
             assert r["text"] == documents[d] or "[REDACTED]" in r["text"]
 
 
+def test_pipeline_drops_letter_noise(spark):
+    import corpus_pipeline as P
+    sf = "/root/testdata/sf0.01"
+    rng = np.random.default_rng(9)
+    noise = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz" + blanks), n))
+             for n in (80, 200, 1_000, 4_000) for blanks in ("", "     ") for _ in range(25)]
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    noisy = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(noise)], "doc_id long, text string")
+    both = docs.unionByName(noisy, allowMissingColumns=True)
+    kept = {r["doc_id"] for r in P.identify_language(spark, both, sf).select("doc_id").collect()}
+    assert not [i for i in kept if i < 0]
+    assert kept == {r["doc_id"] for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")}
+
+
 def test_pipeline_odd_rows(spark, odd):
     import corpus_pipeline as P
     docs = odd.withColumn("n_chars", F.length("text").cast("long"))

@@ -3,19 +3,22 @@
 Texts become word sequences in which numbers, names (capitalised words inside a
 sentence) and units (after a number) are typed placeholders, so that a question
 asked again with other parameters gives the same template.  All windows of
-``WINDOW`` words of documents and benchmark items are hash-joined; matches of
-one document and item that agree on the offset are one alignment.  An alignment
-counts when it covers ``LEAST_WORDS`` words in a row's worth of windows (or the
-whole item, if that is shorter) and its slots are consistent: equal values of
-the item stand for equal values in the document.
+``WINDOW`` words of documents and benchmark items are hash-joined, once with
+placeholders for names and once with the folded names themselves, for copies in
+other letter case; matches of one document and item that agree on the offset are
+one alignment.  An alignment counts when it covers ``LEAST_WORDS`` words in a
+row's worth of windows (or the whole item, if that is shorter) and the slots in
+its matched windows are consistent: equal names of the item stand for equal names
+in the document, and so do equal numbers of three or more characters.  Shorter
+numbers and units can be equal by chance, and stand for anything.
 
 The benchmark's windows are broadcast up to ``BROADCAST_ROWS`` rows, checked by
 counting; a larger benchmark is joined by shuffle.
 
 Defined results: null, empty or too short texts have no windows and are clean;
 items with fewer than ``WINDOW`` words can't be found; a document with several
-places of an item gives one row, that of its best place (ties: the smallest
-offset); repeated rows with equal ids count as one document; empty tables give
+places of an item gives one row, that of its best consistent place (ties: the
+smallest offset); repeated rows with equal ids count as one document; empty tables give
 an empty result; other columns are ignored.
 """
 
@@ -29,6 +32,7 @@ from webstats.llm.common import stored, whole_text
 WINDOW = 8                  # a power of two
 LEAST_WORDS = 13
 BROADCAST_ROWS = 1_000_000  # 32 bytes each
+LONG_NUMBER = 3             # characters from which equal numbers are no chance
 
 NUMBER, NAME, UNIT = "0", "1", "2"     # placeholders; digits, since no other digit is left
 VALUE = r"[\p{L}\p{M}]+|\p{N}+(?:[.,]\p{N}+)*"
@@ -37,16 +41,26 @@ UNITS = ["mm", "cm", "m", "km", "mg", "g", "kg", "t", "ml", "l", "s", "sec", "mi
          "days", "years", "miles", "feet", "inches", "pounds", "dollars", "euros", "usd", "eur", "percent", "degrees"]
 
 
+def _numbered(text: Column) -> Column:
+    return F.regexp_replace(text, r"\p{N}+(?:[.,]\p{N}+)*", NUMBER)
+
+
+def _named(numbered: Column) -> Column:
+    return F.regexp_replace(numbered, r"(?<=[^.!?\s]\s)\p{Lu}\p{Ll}[\p{L}\p{M}]*", NAME)
+
+
+def _tokens(named: Column) -> Column:
+    units = F.regexp_replace(F.lower(named), rf"(?<={NUMBER}) ?(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{M}}])", f" {UNIT}")
+    return F.regexp_extract_all(units, F.lit(TOKEN), F.lit(0))
+
+
 def template_tokens(text: Column) -> Column:
     """The words of a text, folded, with placeholders for numbers, names and units.
 
     Three replacements over the whole text cost far less than a look at every
     word.  Token ``i`` stands for value ``i`` of ``slot_values``.
     """
-    numbers = F.regexp_replace(text, r"\p{N}+(?:[.,]\p{N}+)*", NUMBER)
-    names = F.regexp_replace(numbers, r"(?<=[^.!?\s]\s)\p{Lu}\p{Ll}[\p{L}\p{M}]*", NAME)
-    units = F.regexp_replace(F.lower(names), rf"(?<={NUMBER}) ?(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{M}}])", f" {UNIT}")
-    return F.regexp_extract_all(units, F.lit(TOKEN), F.lit(0))
+    return _tokens(_named(_numbered(text)))
 
 
 def slot_values(text: Column) -> Column:
@@ -70,10 +84,27 @@ def window_hashes(tokens: Column, window: int = WINDOW) -> Column:
 
 
 def _windows(df: DataFrame, key: str, text: str, pos: str, window: int) -> DataFrame:
-    tokens = df.select(F.col(key).cast("long").alias(key), template_tokens(whole_text(text)).alias("tokens"))
-    hashes = tokens.select(key, window_hashes(F.col("tokens"), window).alias("w"))
+    """Hashes of all windows with placeholders for names, and of those with the folded names where these differ."""
+    numbered = df.select(F.col(key).cast("long").alias(key), _numbered(whole_text(text)).alias("t"))
+    tokens = numbered.select(key, _tokens(_named(F.col("t"))).alias("tokens"), _tokens(F.col("t")).alias("plain"))
+    hashes = tokens.select(key, window_hashes(F.col("tokens"), window).alias("w"), window_hashes(F.col("plain"), window).alias("v"))
+    both = F.concat(F.transform("w", lambda h, i: F.struct(i.alias("pos"), h.alias("h"))),
+                    F.filter(F.transform(F.arrays_zip("w", "v"), lambda x, i: F.struct(
+                        i.alias("pos"), F.when(x["w"] != x["v"], x["v"]).alias("h"))), lambda x: x["h"].isNotNull()))
     # the outer form: the plain one adds a filter on the array's size, pushed below, where it would tokenise again
-    return hashes.select(key, F.posexplode_outer("w").alias(pos, "h")).where(F.col("h").isNotNull())
+    return hashes.select(key, F.explode_outer(both).alias("x")).select(
+        key, F.col("x.pos").alias(pos), F.col("x.h").alias("h")).where(F.col("h").isNotNull())
+
+
+def _consistent(a: Column, b: Column, offset: Column, starts: Column, window: int) -> Column:
+    """``(consistent, n_slots)`` of the slots in the matched windows, ``starts`` in the item, of one alignment."""
+    covered = F.array_distinct(F.flatten(F.transform(starts, lambda s: F.sequence(s, s + (window - 1)))))
+    slots = F.filter(F.transform(covered, lambda i: F.struct(
+        F.get(b, i)["token"].alias("kind"), F.get(b, i)["value"].alias("theirs"), F.get(a, i + offset).alias("own"))),
+        lambda s: s["kind"].isin(NUMBER, NAME, UNIT))
+    pairs = F.array_distinct(F.filter(slots, lambda s: (s["kind"] == NAME) | (s["kind"] == NUMBER) & (F.length(s["theirs"]) >= LONG_NUMBER)))
+    values = F.array_distinct(F.transform(pairs, lambda s: F.struct(s["kind"], s["theirs"])))
+    return F.struct((F.size(pairs) == F.size(values)).alias("consistent"), F.size(slots).alias("n_slots"))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str = "item_id",
@@ -85,30 +116,27 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
     docs = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     hits = _windows(docs, "doc_id", "text", "pos", window).join(side, "h")
-    aligned = (hits.select("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("offset"), "item_pos").distinct()
-               .groupBy("doc_id", "item_id", "offset").agg(F.count(F.lit(1)).alias("n_windows"))
+    aligned = (hits.groupBy("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("offset"))
+               .agg(F.collect_set("item_pos").alias("starts")).withColumn("n_windows", F.size("starts"))
                .join(lengths, "item_id").where(F.col("n_windows") >= F.least(F.col("windows"), F.lit(least_words - window + 1))))
-    best = stored(aligned.groupBy("doc_id", "item_id").agg(
-        F.max(F.struct("n_windows", (-F.col("offset")).alias("back"), "windows")).alias("x")).select(
-        "doc_id", "item_id", "x.n_windows", (-F.col("x.back")).alias("offset"), "x.windows"), "template-hits")
+    # all places of an item in a document in one row, so that texts are joined once
+    places = stored(aligned.groupBy("doc_id", "item_id", "windows").agg(
+        F.collect_list(F.struct("offset", "n_windows", "starts")).alias("places")), "template-hits")
 
-    # slots of the aligned stretch, for the documents and items found
-    ids = best.select("doc_id").distinct()
+    # slots of the aligned stretches, for the documents and items found
+    ids = places.select("doc_id").distinct()
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-    sides = lambda out: F.arrays_zip(template_tokens(whole_text("text")).alias("token"), slot_values(whole_text("text")).alias("value")).alias(out)
-    own = docs.join(ids, "doc_id").select("doc_id", sides("a"))
-    theirs = items.select("item_id", sides("b"))
-    both = own.join(best, "doc_id").join(theirs, "item_id")
-    here = F.slice("a", F.greatest(F.col("offset"), F.lit(0)) + 1, F.size("b"))
-    there = F.slice("b", F.greatest(-F.col("offset"), F.lit(0)) + 1, F.size("b"))
-    slots = F.filter(F.zip_with(there, here, lambda b, a: F.struct(
-        b["token"].alias("kind"), b["value"].alias("theirs"), F.when(a["token"] == b["token"], a["value"]).alias("own"))),
-        lambda s: s["kind"].isin(NUMBER, NAME, UNIT) & s["own"].isNotNull())
-    pairs = F.array_distinct(slots)
-    values = F.array_distinct(F.transform(pairs, lambda s: F.struct(s["kind"], s["theirs"])))
-    return (both.withColumn("slots", slots).where(F.size(pairs) == F.size(values))
-            .groupBy("doc_id", "item_id").agg(F.max(F.struct("offset", "n_windows", "windows", F.size("slots").alias("n_slots"))).alias("x"))
-            .select("doc_id", "item_id", "x.offset", "x.n_windows", (F.col("x.n_windows") / F.col("x.windows")).alias("coverage"), "x.n_slots"))
+    own = docs.join(ids, "doc_id").select("doc_id", slot_values(whole_text("text")).alias("a"))
+    theirs = items.select("item_id", F.arrays_zip(template_tokens(whole_text("text")).alias("token"),
+                                                  slot_values(whole_text("text")).alias("value")).alias("b"))
+    both = own.join(places, "doc_id").join(theirs, "item_id")
+    checked = F.transform("places", lambda p: F.struct(
+        p["n_windows"].alias("n_windows"), (-p["offset"]).alias("back"),
+        _consistent(F.col("a"), F.col("b"), p["offset"], p["starts"], window).alias("slots")))
+    best = both.select("doc_id", "item_id", "windows", F.array_max(F.filter(checked, lambda p: p["slots"]["consistent"])).alias("x"))
+    return (best.where(F.col("x").isNotNull()).groupBy("doc_id", "item_id", "windows").agg(F.max("x").alias("x"))
+            .select("doc_id", "item_id", (-F.col("x.back")).alias("offset"), "x.n_windows",
+                    (F.col("x.n_windows") / F.col("windows")).alias("coverage"), F.col("x.slots.n_slots").alias("n_slots")))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
