@@ -324,6 +324,17 @@ def test_secrets(spark, documents):
     assert scan_secrets(empty(df), None).count() == 0
 
 
+def test_secret_models_learn_from_rare_labels(spark):
+    plain = spark.range(2_000).select(F.col("id").alias("doc_id"), F.lit("readPageFromStorage is an ordinary identifier").alias("text"))
+    last = plain.orderBy(F.xxhash64("doc_id").desc()).first()["doc_id"]
+    value = "wJalrXUtnFEMIK7MDENGbPxRfiCY9"
+    label = F.when(F.col("doc_id") == last, F.lit(f"token={value}")).otherwise(F.col("text"))
+    table = fit_models(plain.withColumn("text", label), rows=20)
+    assert table is not None
+    df = spark.createDataFrame([(1, f"the {value} stands alone")], "doc_id long, text string")
+    assert [s.kind for s in scan_secrets(df, table).first()["found"]] == ["markov"]
+
+
 # --- pages -------------------------------------------------------------------------------------------------------
 
 def test_pages(spark):

@@ -6,9 +6,10 @@ character models: one of random strings (learned from the values that the base
 rules label), one of ordinary identifiers (all others).  Identifiers above the
 threshold that touch no base span are spans of kind ``markov``.
 
-The models are fitted on at most ``SAMPLE_ROWS`` documents, those with the
-smallest id hash (a bounded sample of labelled rows); scanning covers every
-whole text.  The fitted table has 128 x 128 numbers at any input size.
+The models are fitted on two bounded samples of at most ``SAMPLE_ROWS``
+documents, those with the smallest id hash: random strings come from documents
+with base spans, looked for in all rows, ordinary identifiers from all documents.
+Scanning covers every whole text.  The fitted table has 128 x 128 numbers at any input size.
 
 Defined results: a null or empty text has no spans; offsets are code points,
 ends exclusive; a text's spans are sorted by start, then kind; repeated rows
@@ -69,13 +70,20 @@ def base_spans(text: Column) -> Column:
 
 def fit_models(df: DataFrame, text: str = "text", key: str = "doc_id", rows: int = SAMPLE_ROWS) -> list[float] | None:
     """Log-likelihood ratio of every character pair (128 x 128 numbers), or None if nothing is labelled."""
-    mark = F.xxhash64(F.col(key))
-    bound = df.select(mark.alias("h")).orderBy("h").limit(rows).agg(F.max("h")).first()[0]
-    if bound is None:
+    hashed = df.select(F.xxhash64(F.col(key)).alias("h"), whole_text(text).alias("t"))
+
+    def smallest(labelled: bool, values: Column) -> DataFrame | None:
+        """``values`` of the documents with the smallest hashes, of those with base spans or of all."""
+        wanted = F.size(base_spans(F.col("t"))) > 0 if labelled else F.lit(True)
+        bound = hashed.where(wanted).select("h").orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+        return None if bound is None else hashed.where(F.col("h") <= bound).where(wanted).orderBy("h").limit(rows).select(
+            "t", base_spans(F.col("t")).alias("s")).select(values.alias("w"), "s")
+
+    secret = smallest(True, F.explode("s.value"))
+    if secret is None:
         return None
-    sample = df.where(mark <= bound).orderBy(mark).limit(rows).select(whole_text(text).alias("t")).select("t", base_spans(F.col("t")).alias("s"))
-    secret = sample.select(F.explode("s.value").alias("w"), F.lit(1).alias("random"))
-    plain = sample.select(F.explode(F.regexp_extract_all("t", F.lit(IDENTIFIER), F.lit(0))).alias("w"), "s").where(
+    secret = secret.select("w", F.lit(1).alias("random"))
+    plain = smallest(False, F.explode(F.regexp_extract_all("t", F.lit(IDENTIFIER), F.lit(0)))).where(
         ~F.exists("s", lambda s: F.contains(F.col("w"), s["value"]) | F.contains(s["value"], F.col("w")))).select("w", F.lit(0).alias("random"))
     pairs = secret.union(plain).where(F.length("w") >= 2).select(
         "random", F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substr(F.col("w"), i, F.lit(2)))).alias("p"))
