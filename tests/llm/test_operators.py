@@ -158,6 +158,10 @@ def test_contamination_of_every_place(spark):
         (5, five.replace("5 apples", "3 apples").replace("5 pears", "4 pears")),          # equal by chance
         (6, quote + " by a road where nobody at all had Berta seen or Carla met"),        # other text after a quote
         (7, bad.lower())], "doc_id long, text string")
+    names = "We met Anna and Berta with Carla near Dora and Emil plus Franz by Gustav then Hanna too"
+    many = spark.createDataFrame([(3, names)], "item_id long, text string")
+    lower = spark.createDataFrame([(1, names.lower()), (2, names.upper())], "doc_id long, text string")
+    assert find_contamination(lower, many).count() == 2
     found = {(r["doc_id"], r["item_id"]): r for r in find_contamination(docs, bench).collect()}
     assert sorted(found) == [(1, 1), (2, 1), (3, 1), (5, 2), (6, 1), (7, 1)]
     assert found[3, 1]["offset"] == len(bad.rstrip(".").split()) and found[3, 1]["coverage"] == 1
