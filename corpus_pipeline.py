@@ -20,7 +20,7 @@ from webstats.llm.template_decontamination import drop_contaminated
 
 #: letters from which on a cosine below the second number resembles no learned language. Of 400 random strings
 #: over a-z at each of six lengths, with and without blanks, none of 60 or more letters passed (largest 0.13, with 4,000
-#: characters 0.18); the least of 400 held-out documents was 0.25. Shorter texts overlap with noise and are mostly kept.
+#: characters 0.18); the least of 400 held-out documents was 0.25. Shorter texts overlap with noise, so some noise stays.
 LEAST_SCORES = [(0, 0.02), (20, 0.1), (60, 0.15), (2_000, 0.2)]
 
 
