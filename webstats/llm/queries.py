@@ -16,6 +16,7 @@ from webstats.llm.merkle_manifest import fold_path, merkle_manifest, path_digest
 from webstats.llm.minimax_sharding import shard_minimax
 from webstats.llm.oracle import ORACLE_SQL  # noqa: F401  (read by __spark_entry__)
 from webstats.llm.signature_tree_join import link_classes
+from webstats.llm.simhash_pigeonring import simhash_classes
 from webstats.llm.stable_projection_ann import nearest
 from webstats.llm.superkmer_dedup import dedup_substrings
 from webstats.llm.tagpath_extract import extract_main_text
@@ -101,6 +102,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op12_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_classes(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_decontamination": op1_template_decontamination,
     "op2_superkmer_dedup": op2_superkmer_dedup,
@@ -113,4 +119,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_stable_projection_ann": op9_stable_projection_ann,
     "op10_license_index": op10_license_index,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_simhash_pigeonring": op12_simhash_pigeonring,
 }
