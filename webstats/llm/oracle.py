@@ -92,5 +92,39 @@ SELECT l.doc_id, l.leaf, t.digest AS subroot, r.digest AS root, sha256(w.proof)
 FROM l JOIN tops t USING (tree) JOIN way w ON w.doc_id = l.doc_id AND w.level = w.total, root r
 """
 
+SPELLING = rf"""
+WITH RECURSIVE {CRC_TABLE.strip()},
+r AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+b AS (SELECT *, hex(encode(doc_id || ':' || run)) AS x FROM r),
+h AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(x), 2), lambda i: ('0x' || x[i:i + 1])::BIGINT)),
+                     lambda c, v: xor(c >> 8, crc.t[(xor(c, v) & 255) + 1])), 4294967295) AS h
+  FROM b, crc),
+w AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM h)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+c AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS cut FROM (SELECT *, unnest(range(0, length(word))) AS i FROM w)),
+p AS (
+  SELECT a.word AS a, b.word AS b FROM c a JOIN c b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM c JOIN w ON w.word = c.cut
+  UNION SELECT w.word, c.word FROM c JOIN w ON w.word = c.cut),
+best AS (
+  SELECT a, count(*) AS n_near, arg_max(b, (m, -place)) AS form, max(m) AS form_n
+  FROM (SELECT p.*, w.n AS m, row_number() OVER (ORDER BY w.word) AS place FROM p JOIN w ON w.word = p.b) GROUP BY a),
+f AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * n THEN form END AS form,
+         CASE WHEN form_n >= 5 * n THEN form_n END AS form_n
+  FROM w LEFT JOIN best ON best.a = w.word),
+way(word, last, form) AS (
+  SELECT word, word, form FROM f
+  UNION ALL
+  SELECT way.word, f.word, f.form FROM way JOIN f ON f.word = way.form)
+SELECT f.word, f.form, way.last AS root, f.n, f.n_near, f.form_n FROM f JOIN way ON way.word = f.word AND way.form IS NULL
+"""
+
 ORACLE_SQL = {"op2_superkmer_dedup": SUBSTRING_DEDUP, "op7_signature_tree_join": JACCARD_JOIN,
-              "op11_merkle_manifest": MERKLE_MANIFEST}
+              "op11_merkle_manifest": MERKLE_MANIFEST, "op13_spelling_kdtree": SPELLING}

@@ -17,6 +17,7 @@ from webstats.llm.minimax_sharding import shard_minimax
 from webstats.llm.oracle import ORACLE_SQL  # noqa: F401  (read by __spark_entry__)
 from webstats.llm.signature_tree_join import link_classes
 from webstats.llm.simhash_pigeonring import simhash_classes
+from webstats.llm.spelling_kdtree import spelling_variants
 from webstats.llm.stable_projection_ann import nearest
 from webstats.llm.superkmer_dedup import dedup_substrings
 from webstats.llm.tagpath_extract import extract_main_text
@@ -107,6 +108,10 @@ def op12_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op13_spelling_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_decontamination": op1_template_decontamination,
     "op2_superkmer_dedup": op2_superkmer_dedup,
@@ -120,4 +125,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_license_index": op10_license_index,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_simhash_pigeonring": op12_simhash_pigeonring,
+    "op13_spelling_kdtree": op13_spelling_kdtree,
 }
