@@ -155,6 +155,8 @@ def descend(records: Records, starts: DataFrame, wanted: DataFrame, few: bool =
         if few:
             ranks = wanted.select("tree", F.floor(F.col("place") / FAN ** (h - 1)).alias("place")).distinct()
             at = at.join(ranks, ["tree", "place"], "left_semi")
+        if (h - 1) % LEVELS == 0:       # small against the levels to come: written, so that no plan holds the whole way
+            at = stored(at, "merkle-way")
     single = wanted.join(starts.where("height = 0").select("tree", F.col("digest").alias("leaf"), "path", "subroot"), "tree")
     if not records.height:
         return single
