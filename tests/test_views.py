@@ -84,12 +84,7 @@ def test_registered_views_run_sql(spark, tables):
     assert n > 0
 
 
-def test_approximate_options_run_and_stay_close(tables):
-    exact = {r["url"]: r for r in V.vw_page_performance(tables).collect()}
-    approx = {r["url"]: r for r in V.vw_page_performance(tables, approx=True).collect()}
-    assert exact.keys() == approx.keys()
-    for u, r in exact.items():
-        assert abs(approx[u]["p50_response_time_ms"] - r["p50_response_time_ms"]) <= 0.05 * max(1, r["max_response_time_ms"])
+def test_approximate_distinct_counts_stay_close(tables):
     e = {r["page_url"]: r["unique_sessions"] for r in V.vw_engagement_events(tables).collect()}
     a = {r["page_url"]: r["unique_sessions"] for r in V.vw_engagement_events(tables, approx=True).collect()}
     assert all(abs(a[k] - v) <= max(2, 0.1 * v) for k, v in e.items())

@@ -10,12 +10,16 @@ the caller (sort only at the sink).
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from webstats.functions.labels import channel_rate
 from webstats.functions.numeric import count_if, pct, pg_round, sum_if, sum_long
 from webstats.functions.web import padded_name, pg_dow, ua_browser, ua_device, ua_os
+from webstats.operators.orderstats import quantiles, value_counts
 from webstats.plans.common import share_of_total, top_n
 
 
@@ -137,22 +141,33 @@ def vw_top_pages(t) -> DataFrame:
         "unique_visitors", "avg_response_time_ms", "error_rate_pct", "last_visited")
 
 
+def with_quantiles(base: DataFrame, g: DataFrame, groups: list[str], probs: dict[str, float]) -> DataFrame:
+    """``g`` (one row per group) with the quantiles of ``base``; a NULL group meets itself."""
+    q = quantiles(base, groups, probs).withColumnsRenamed({c: f"_{c}" for c in groups})
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in groups))
+    return g.join(q, same).drop(*[f"_{c}" for c in groups])
+
+
 def vw_page_performance(t, approx: bool = False) -> DataFrame:
-    """V-08: exact PERCENTILE_CONT by default; ``approx=True`` for huge groups."""
+    """V-08: exact PERCENTILE_CONT by default; with ``approx=True`` the quantiles come from value ranges.
+
+    Either way a hot URL is spread over its response times (``operators.orderstats``).
+    """
     ms = F.col("response_time_ms")
-    q = (lambda p: F.percentile_approx(ms, p, 10000).cast("double")) if approx else (lambda p: F.percentile(ms, p))
     g = t.logs.where(ms.isNotNull()).groupBy("url").agg(
         F.count(F.lit(1)).alias("total_requests"),
         pg_round(F.avg(ms), 2).alias("avg_response_time_ms"),
         pg_round(F.min(ms), 2).alias("min_response_time_ms"),
         pg_round(F.max(ms), 2).alias("max_response_time_ms"),
-        pg_round(q(0.5), 2).alias("p50_response_time_ms"),
-        pg_round(q(0.95), 2).alias("p95_response_time_ms"),
         count_if(ms < 200).alias("fast_requests"),
         count_if(ms.between(200, 1000)).alias("normal_requests"),
         count_if(ms > 1000).alias("slow_requests"))
-    return g.select("*", *[pct(F.col(f"{k}_requests"), F.col("total_requests"), 2).alias(f"{k}_pct")
-                           for k in ("fast", "normal", "slow")])
+    g = with_quantiles(value_counts(t.logs, ["url"], "response_time_ms", approx), g, ["url"], {"p50": 0.5, "p95": 0.95})
+    return g.select("url", "total_requests", "avg_response_time_ms", "min_response_time_ms", "max_response_time_ms",
+                    pg_round("p50", 2).alias("p50_response_time_ms"), pg_round("p95", 2).alias("p95_response_time_ms"),
+                    "fast_requests", "normal_requests", "slow_requests",
+                    *[pct(F.col(f"{k}_requests"), F.col("total_requests"), 2).alias(f"{k}_pct")
+                      for k in ("fast", "normal", "slow")])
 
 
 def error_by_page(t) -> DataFrame:
