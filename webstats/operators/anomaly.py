@@ -18,10 +18,12 @@ Distribution:
   independent of partitioning and deterministic for a seed;
 * scoring -- the forest has at most trees x (2 psi - 1) nodes (51,100 for the
   defaults), a proven bound, so it is broadcast and every partition is scored
-  vectorised with ``mapInPandas``; the offset is one exact percentile aggregate.
+  vectorised; the offset is an exact quantile by value ranges.
 
 ``group_cols`` trains one forest per group (e.g. per channel or page) in the
-same jobs, which is what lets this operator use a cluster.
+same jobs, which is what lets this operator use a cluster.  The forests of
+groups never meet on the driver: rows and trees are cogrouped by group, a group
+of more than ``ROWS_PER_PART`` rows in several parts.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from webstats.functions.labels import severity
+from webstats.operators.orderstats import quantiles, value_counts
 
 # scoring and tree building run in Python workers: they travel by value, so executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -50,6 +53,7 @@ FEATURES = {
     "bounce": ["avg_bounce_rate", "total_sessions"],
 }
 EULER = 0.5772156649
+ROWS_PER_PART = 100_000      # rows scored by one task of a grouped forest
 
 
 def avg_path_length(n):
@@ -69,8 +73,10 @@ def prepare_features(df: DataFrame, metric_type: str = "traffic") -> list[str]:
 
 
 def row_key(key) -> "F.Column":
-    """A string key per row from one column or several; quoted, so that different values give different keys."""
+    """A string key per row: the value of one column, or several quoted, so that different values give different keys."""
     cols = [key] if isinstance(key, str) else list(key)
+    if len(cols) == 1:
+        return F.col(cols[0]).cast("string")
     return F.to_json(F.struct(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(cols)]))
 
 
@@ -81,6 +87,11 @@ def feature_frame(df: DataFrame, features: list[str], key="session_date",
                      *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
 
 
+def _same_group(group_cols: list[str]) -> list:
+    """Join condition of a frame with one whose groups are named ``_of_…``; a NULL group meets itself."""
+    return [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in group_cols]
+
+
 # ---- training ----------------------------------------------------------------------
 
 NODE_SCHEMA = ("tree_id int, psi int, node_id int, feature int, threshold double, left int, right int, "
@@ -147,7 +158,8 @@ def train_isolation_forest(feats: DataFrame, features: list[str], n_trees: int =
     """
     group_cols = group_cols or []
     if group_cols:
-        f = feats.join(feats.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")), group_cols)
+        counts = feats.groupBy(*[F.col(g).alias(f"_of_{g}") for g in group_cols]).agg(F.count(F.lit(1)).alias("_n"))
+        f = feats.join(counts, _same_group(group_cols))
     else:
         f = feats.withColumn("_n", feats.agg(F.count(F.lit(1))).scalar())
     p = F.least(F.lit(1.0), F.lit(float(max_samples)) / F.col("_n"))
@@ -186,37 +198,57 @@ def _path_lengths(X: np.ndarray, forest: dict) -> np.ndarray:
     return total / max(len(forest), 1)
 
 
+def _scores(X: np.ndarray, forest: dict, psi: int) -> np.ndarray:
+    c = float(avg_path_length([psi])[0]) or 1.0
+    return -np.power(2.0, -_path_lengths(X, forest) / c)
+
+
 def score_samples(feats: DataFrame, model: "ForestModel") -> DataFrame:
-    """Adds ``score_samples`` (higher = more normal), vectorised per partition with the broadcast forest."""
-    spark = feats.sparkSession
-    bc = spark.sparkContext.broadcast(model.arrays())
-    features, group_cols = model.features, model.group_cols
+    """Adds ``score_samples`` (higher = more normal; NULL for a group without a forest).
+
+    One forest has at most trees x (2 psi - 1) nodes and is broadcast; forests of
+    groups, whose number is not bounded, meet their rows by a cogroup.
+    """
+    return _score_groups(feats, model) if model.group_cols else _score_one(feats, model)
+
+
+def _score_one(feats: DataFrame, model: "ForestModel") -> DataFrame:
+    bc = feats.sparkSession.sparkContext.broadcast(model.arrays())
+    features = model.features
 
     def score(batches):
         import pyarrow as pa
 
-        arrays = bc.value
         for batch in batches:
-            pdf = batch.select([*dict.fromkeys([*group_cols, *features])]).to_pandas()
-            s = np.full(len(pdf), np.nan)
-            if len(pdf):
-                keys = (list(pdf[group_cols].itertuples(index=False, name=None)) if group_cols
-                        else [()] * len(pdf))
-                pos_by_key: dict = {}
-                for i, k in enumerate(keys):
-                    pos_by_key.setdefault(k, []).append(i)
-                X_all = pdf[features].to_numpy(dtype=float)
-                for k, pos in pos_by_key.items():
-                    entry = arrays.get(k)
-                    if entry is None:
-                        continue
-                    forest, psi = entry
-                    c = float(avg_path_length([psi])[0]) or 1.0
-                    s[pos] = -np.power(2.0, -_path_lengths(X_all[pos], forest) / c)
+            X = batch.select(features).to_pandas().to_numpy(dtype=float)
+            s = _scores(X, *bc.value) if bc.value and len(X) else np.full(len(X), np.nan)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, from_pandas=True)],
                                              names=[*batch.schema.names, "score_samples"])
-    schema = T.StructType(feats.schema.fields + [T.StructField("score_samples", T.DoubleType())])
-    return feats.mapInArrow(score, schema=schema)
+    return feats.mapInArrow(score, schema=_scored_schema(feats))
+
+
+def _scored_schema(feats: DataFrame) -> T.StructType:
+    return T.StructType(feats.schema.fields + [T.StructField("score_samples", T.DoubleType())])
+
+
+def _score_groups(feats: DataFrame, model: "ForestModel") -> DataFrame:
+    """Rows and trees cogrouped by group; a group of many rows is dealt to parts, each of which gets the group's trees."""
+    group = F.to_json(F.struct(*[F.col(g).cast("string").alias(f"c{i}") for i, g in enumerate(model.group_cols)]))
+    rows, columns, features = feats.withColumn("_g", group), feats.columns, model.features
+    parts = rows.groupBy("_g").agg(F.ceil(F.count(F.lit(1)) / F.lit(ROWS_PER_PART)).cast("int").alias("_parts"))
+    rows = rows.join(parts, "_g").withColumn("_part", F.pmod(F.xxhash64("_key", *features), F.col("_parts")).cast("int")).drop("_parts")
+    trees = (model.nodes.withColumn("_g", group).drop(*model.group_cols).join(parts, "_g")
+             .withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts"))
+
+    def score(left, right):
+        import pyarrow as pa
+
+        s = np.full(left.num_rows, np.nan)
+        if left.num_rows and right.num_rows:
+            X = left.select(features).to_pandas().to_numpy(dtype=float)
+            s = _scores(X, *_forest_arrays(right.to_pandas()))
+        return left.select(columns).append_column("score_samples", pa.array(s, pa.float64(), from_pandas=True))
+    return rows.groupBy("_g", "_part").cogroup(trees.groupBy("_g", "_part")).applyInArrow(score, schema=_scored_schema(feats))
 
 
 class ForestModel:
@@ -228,46 +260,42 @@ class ForestModel:
         self.contamination, self.seed = contamination, seed
         self.group_cols = group_cols or []
         self.offset = offset       # float, or a DataFrame of per-group offsets
-        self.training_scores = None
         self._arrays = None
 
-    def arrays(self) -> dict:
-        """Per group key: (tree arrays, psi). At most trees x (2 psi - 1) nodes per group."""
+    def arrays(self) -> tuple | None:
+        """(tree arrays, psi) of an ungrouped forest, at most trees x (2 psi - 1) nodes; None without training rows."""
+        if self.group_cols:
+            raise ValueError("the forests of groups stay distributed")
         if self._arrays is None:
             pdf = self.nodes.toPandas()
-            out = {}
-            if self.group_cols:
-                for gk, g in pdf.groupby(self.group_cols):
-                    out[gk if isinstance(gk, tuple) else (gk,)] = _forest_arrays(g)
-            elif len(pdf):
-                out[()] = _forest_arrays(pdf)
-            self._arrays = out
+            self._arrays = _forest_arrays(pdf) if len(pdf) else None
         return self._arrays
 
 
 def fit(feats: DataFrame, features: list[str], contamination: float = 0.05, seed: int = 42, n_trees: int = 100,
         max_samples: int = 256, group_cols: list[str] | None = None) -> ForestModel:
     """M-02: train and fix the decision offset on the training rows."""
-    # the forest is small and costly to regrow: cut its lineage into the shared checkpoint folder
+    # training passes over the features several times (row count, routing, offset): written to the shared checkpoint
+    # folder once, as is the forest, which is small and costly to regrow
+    feats = feats.select(*dict.fromkeys([*(group_cols or []), "_key", *features])).checkpoint(eager=True)
     nodes = train_isolation_forest(feats, features, n_trees, max_samples, seed, group_cols).checkpoint(eager=True)
     model = ForestModel(nodes, features, contamination, seed, group_cols)
-    # training rows are scored once: for the offset here and for their labels in detect()
-    scored = score_samples(feats, model).cache()
-    model.training_scores = scored
-    q = F.percentile(F.col("score_samples"), contamination)
-    if group_cols:
-        model.offset = scored.groupBy(*group_cols).agg(q.alias("_offset")).checkpoint(eager=True)
+    groups = group_cols or []
+    cuts = quantiles(value_counts(score_samples(feats, model), groups, "score_samples"), groups, {"_offset": contamination})
+    if groups:
+        model.offset = cuts.checkpoint(eager=True)
     else:
-        cut = scored.agg(q).first()[0]
-        model.offset = float(cut) if cut is not None else 0.0      # no rows: nothing to decide
+        cut = cuts.first()
+        model.offset = float(cut[0]) if cut is not None else 0.0      # no rows: nothing to decide
     return model
 
 
-def decide(feats: DataFrame, model: ForestModel, scored: DataFrame | None = None) -> DataFrame:
+def decide(feats: DataFrame, model: ForestModel) -> DataFrame:
     """M-03: is_anomaly, anomaly_score (= -decision) and severity for every row."""
-    s = scored if scored is not None else score_samples(feats, model)
+    s = score_samples(feats, model)
     if model.group_cols:
-        s = s.join(model.offset, model.group_cols, "left")
+        cuts = model.offset.withColumnsRenamed({g: f"_of_{g}" for g in model.group_cols})
+        s = s.join(cuts, _same_group(model.group_cols), "left").drop(*[f"_of_{g}" for g in model.group_cols])
         off = F.col("_offset")
     else:
         off = F.lit(model.offset)
@@ -278,8 +306,12 @@ def decide(feats: DataFrame, model: ForestModel, scored: DataFrame | None = None
 
 def detect(df: DataFrame, metric_type: str = "traffic", model: ForestModel | None = None,
            key="session_date", group_cols: list[str] | None = None, contamination: float = 0.05,
-           seed: int = 42) -> tuple[DataFrame, ForestModel | None]:
-    """M-04: annotate ``df``; an empty feature set gives (False, 0.0, 'none') like the reference."""
+           seed: int = 42, store=None) -> tuple[DataFrame, ForestModel | None]:
+    """M-04: annotate ``df``; an empty feature set gives (False, 0.0, 'none') like the reference.
+
+    ``model`` scores with a given forest; ``store`` (a ``ModelStore``) loads the forest of these rows and settings if it
+    holds it, and trains and publishes it otherwise; with neither a forest is trained.
+    """
     features = model.features if model is not None else prepare_features(df, metric_type)
     if not features:
         return df.select("*", F.lit(False).alias("is_anomaly"), F.lit(0.0).alias("anomaly_score"),
@@ -288,14 +320,12 @@ def detect(df: DataFrame, metric_type: str = "traffic", model: ForestModel | Non
     whole = F.struct(*[F.col(c) for c in df.columns]).alias("_row")
     feats = df.select(*(group_cols or []), row_key(key).alias("_key"), whole,
                       *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
-    if model is None:
-        # training makes several passes (row count, tree routing, offset): keep the features in memory
-        feats = feats.cache()
+    if model is None and store is not None:
+        model = store.obtain(metric_type + "".join(f"-by-{g}" for g in group_cols or []), feats, features, contamination, seed,
+                             group_cols=group_cols)
+    elif model is None:
         model = fit(feats, features, contamination, seed, group_cols=group_cols)
-        scored = decide(feats, model, model.training_scores)
-    else:
-        scored = decide(feats, model)
-    return scored.select("_row.*", "is_anomaly", "anomaly_score", "severity"), model
+    return decide(feats, model).select("_row.*", "is_anomaly", "anomaly_score", "severity"), model
 
 
 def anomaly_summary(annotated: DataFrame, date_col: str = "session_date") -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webstats.operators import anomaly as A
+from webstats.operators.modelstore import ModelStore
 from webstats.plans import views as V
 from webstats.session import scratch_path
 
@@ -28,31 +29,33 @@ def prepare_traffic_features(t) -> DataFrame:
     return A.feature_frame(d, feats).withColumnRenamed("_key", "row_key")
 
 
+def store_of(t) -> ModelStore:
+    """The session's model store, in the shared folder: every job here loads its forest from it if it is there."""
+    return ModelStore(t.spark, scratch_path(t.spark, "model-store"))
+
+
+def _detect(t, df: DataFrame, metric_type: str = "traffic", **kw):
+    return A.detect(df, metric_type, contamination=CONTAMINATION, seed=SEED, store=store_of(t), **kw)
+
+
 def forest_nodes(t) -> DataFrame:
     """M-02: the node table of the traffic forest (100 trees, psi = min(256, days))."""
-    d = V.vw_daily_traffic(t)
-    feats = A.prepare_features(d, "traffic")
-    return A.train_isolation_forest(A.feature_frame(d, feats), feats, seed=SEED)
+    return _detect(t, V.vw_daily_traffic(t))[1].nodes
 
 
 def traffic_anomalies(t) -> DataFrame:
     """M-03/M-04: every day annotated with is_anomaly, anomaly_score and severity."""
-    out, _ = A.detect(V.vw_daily_traffic(t), "traffic", contamination=CONTAMINATION, seed=SEED)
-    return out
+    return _detect(t, V.vw_daily_traffic(t))[0]
 
 
 def conversion_anomalies(t) -> DataFrame:
     """M-04 on vw_conversions rows (features present: goal_completions, revenue)."""
-    out, _ = A.detect(V.vw_conversions(t), "conversion",
-                      key=["session_date", "channel_grouping", "source", "medium"],
-                      contamination=CONTAMINATION, seed=SEED)
-    return out
+    return _detect(t, V.vw_conversions(t), "conversion", key=["session_date", "channel_grouping", "source", "medium"])[0]
 
 
 def bounce_anomalies(t) -> DataFrame:
     """M-04, bounce feature set (only total_sessions is present on the view)."""
-    out, _ = A.detect(V.vw_daily_traffic(t), "bounce", contamination=CONTAMINATION, seed=SEED)
-    return out
+    return _detect(t, V.vw_daily_traffic(t), "bounce")[0]
 
 
 def channel_anomalies(t) -> DataFrame:
@@ -61,8 +64,7 @@ def channel_anomalies(t) -> DataFrame:
              .groupBy("channel_grouping", "session_date")
              .agg(F.sum("total_sessions").alias("total_sessions"), F.sum("total_pageviews").alias("total_pageviews"),
                   F.avg("avg_session_duration").alias("avg_session_duration")))
-    out, _ = A.detect(daily, "traffic", group_cols=["channel_grouping"], contamination=CONTAMINATION, seed=SEED)
-    return out
+    return _detect(t, daily, group_cols=["channel_grouping"])[0]
 
 
 def anomaly_summary(t) -> DataFrame:
@@ -71,7 +73,7 @@ def anomaly_summary(t) -> DataFrame:
 
 
 def run_detection(t) -> DataFrame:
-    """M-06: train, score vw_daily_traffic and save every annotated row (Parquet in the shared folder)."""
+    """M-06: load the forest of these days or train it, score vw_daily_traffic and save every annotated row."""
     out = traffic_anomalies(t)
     path = scratch_path(t.spark, f"anomalies/{uuid.uuid4().hex}")
     out.write.mode("overwrite").parquet(path)
@@ -81,13 +83,8 @@ def run_detection(t) -> DataFrame:
 def model_roundtrip(t) -> DataFrame:
     """M-07: save the forest, load it back and score with the loaded model."""
     d = V.vw_daily_traffic(t)
-    feats = A.prepare_features(d, "traffic")
-    model = A.fit(A.feature_frame(d, feats), feats, CONTAMINATION, SEED)
-    path = scratch_path(t.spark, f"models/{uuid.uuid4().hex}")
-    A.save_model(model, path)
-    loaded = A.load_model(t.spark, path)
-    out, _ = A.detect(d, "traffic", model=loaded)
-    return out
+    path = A.save_model(_detect(t, d)[1], scratch_path(t.spark, f"models/{uuid.uuid4().hex}"))
+    return A.detect(d, "traffic", model=A.load_model(t.spark, path))[0]
 
 
 def evaluate(t) -> DataFrame:
