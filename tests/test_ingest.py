@@ -3,8 +3,10 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from webstats.operators import ingest as I
+from webstats.sources.manifest import ManifestTable
 from webstats.sources.feeds import CLICK_CSV, GA4_CSV, LOG_CSV, SCRAPE_CSV
 
 
@@ -87,11 +89,11 @@ def test_required_columns(spark):
 def test_incremental_skips_loaded_days(spark, tmp_path):
     rows = [(dt.datetime(2024, 1, d, 12), d) for d in (1, 2, 3, 4)]
     df = spark.createDataFrame(rows, "log_time timestamp_ntz, v int")
-    path = str(tmp_path / "t")
-    I.load_incremental(path, df.where("v <= 2"), "2024-01-01", "log_time")
+    table = ManifestTable(spark, str(tmp_path / "t"))
+    I.load_incremental(table, df.where("v <= 2"), "2024-01-01", "log_time")
     late = spark.createDataFrame([(dt.datetime(2024, 1, 2, 18), 99)], "log_time timestamp_ntz, v int")
-    I.load_incremental(path, df.where("v > 2").unionByName(late), "2024-01-02", "log_time")
-    got = sorted(r["v"] for r in spark.read.parquet(path).collect())
+    assert I.load_incremental(table, df.where("v > 2").unionByName(late), "2024-01-02", "log_time") == ["2024-01-03", "2024-01-04"]
+    got = sorted(r["v"] for r in table.read().collect())
     assert got == [1, 2, 3, 4]                      # the late row for a loaded day is skipped (date-granular)
 
 
@@ -124,13 +126,45 @@ def test_word_counts_that_are_no_numbers(spark):
     assert [out[f"http://a.b/{i}"] for i in range(8)] == [0, 0, 0, 0, 12, 0, 0, 0]
 
 
-def test_incremental_without_since_and_unreadable_target(spark, tmp_path):
-    df = spark.createDataFrame([("2024-01-01", 1), ("2024-01-02", 2)], "day string, v int")
-    path = str(tmp_path / "t")
-    assert I.load_incremental(path, df, None, "day").count() == 2
-    assert I.load_incremental(path, df, None, "day").count() == 2
-    bad = tmp_path / "bad"
-    bad.mkdir()
-    (bad / "part-0.parquet").write_bytes(b"no table")
-    with pytest.raises(Exception):
-        I.load_incremental(str(bad), df, None, "day")
+def test_incremental_without_since_and_after_a_failed_load(spark, tmp_path, monkeypatch):
+    """A load that dies before its manifest adds nothing; its retry adds every day once."""
+    df = spark.createDataFrame([("2024-01-01", 1), ("2024-01-02", 2), (None, 3)], "day string, v int")
+    table = ManifestTable(spark, str(tmp_path / "t"))
+    with monkeypatch.context() as m:
+        m.setattr(table.folder, "publish", lambda *a: (_ for _ in ()).throw(OSError("the driver died")))
+        with pytest.raises(OSError):
+            I.load_incremental(table, df, None, "day")
+    assert table.read() is None
+    for _ in range(2):
+        I.load_incremental(table, df, None, "day")
+        assert table.read().count() == 3
+    assert len(table.folder.names("data")) == 2 and table.vacuum() == 1     # the dead load's folder
+    assert table.read().count() == 3
+    nothing = ManifestTable(spark, str(tmp_path / "empty"))
+    assert I.load_incremental(nothing, df.where("false"), None, "day") == [] and nothing.read().columns == ["day", "v"]
+
+
+def test_page_upsert_touches_its_buckets_only(spark, tmp_path):
+    """One URL rewrites one bucket; a batch that dies leaves the old state; a replay does nothing; old folders go."""
+    rows = [(f"http://a.b/{i}", dt.datetime(2024, 1, 1), f"t{i}", "m", i, i) for i in range(500)]
+    schema = "url string, scraped_at timestamp_ntz, title string, meta_description string, word_count int, input_row int"
+    table = ManifestTable(spark, str(tmp_path / "pages"))
+    I.upsert_scrape_table(table, spark.createDataFrame(rows, schema), "w", 0)
+    before = table.manifest()["slices"]
+    assert len(before) == I.URL_BUCKETS and table.read().count() == 500
+    one = spark.createDataFrame([("http://a.b/7", dt.datetime(2024, 2, 1), "new", "m", 1, 1)], schema)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(table.folder, "publish", lambda *a: False)
+        with pytest.raises(RuntimeError):
+            I.upsert_scrape_table(table, one, "w", 1)
+    assert table.manifest()["slices"] == before and table.read().where("title = 'new'").count() == 0
+    assert len(I.upsert_scrape_table(table, one, "w", 1)) == 1
+    after = table.manifest()["slices"]
+    assert sum(after[s] != before[s] for s in before) == 1
+    assert I.upsert_scrape_table(table, one.withColumn("title", F.lit("replayed")), "w", 1) == []
+    got = {r["url"]: r["title"] for r in table.read().collect()}
+    assert len(got) == 500 and got["http://a.b/7"] == "new" and got["http://a.b/8"] == "t8"
+    assert table.read(version=1).where("title = 'new'").count() == 0        # the state before is still there
+    I.upsert_scrape_table(table, one.withColumn("title", F.lit("newer")), "w", 2)
+    table.vacuum()
+    assert table.versions() == [2, 3] and table.read().where("title = 'newer'").count() == 1 and table.read().count() == 500

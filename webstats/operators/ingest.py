@@ -13,13 +13,13 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import Column, DataFrame
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from webstats.functions.numeric import pg_round, py_round
 from webstats.functions.web import (clean_url, extract_page, has_scheme_and_host, parse_ip, parse_timestamp,
                                     response_kb, status_category, url_path_raw, url_query)
 from webstats.session import scratch_path
+from webstats.sources.manifest import ManifestTable
 
 # Required export columns and accepted event types.
 CLICK_REQUIRED = {"event_timestamp", "session_id", "user_id", "event_type", "page_url"}
@@ -147,19 +147,14 @@ def rows_to_append(target: DataFrame, new: DataFrame, since: str | None, date_co
     return cand.join(loaded, "_d", "left_anti").drop("_d")
 
 
-def load_incremental(path: str, new: DataFrame, since: str | None, date_col: str) -> DataFrame:
-    """I-06 sink: append the new days to the table at ``path`` (created when absent)."""
-    spark = new.sparkSession
-    try:
-        target = spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        target = spark.createDataFrame([], new.schema)      # no table yet
-    add = rows_to_append(target, new, since, date_col)
-    add.withColumn("load_date", F.col(date_col).cast("date")).write.mode("append") \
-        .partitionBy("load_date").parquet(path)
-    return spark.read.parquet(path)
+def load_incremental(table: ManifestTable, new: DataFrame, since: str | None, date_col: str) -> list[str]:
+    """I-06 sink: add the days of ``new`` on/after ``since`` that the table doesn't hold; returns these days.
+
+    The loaded days are the slices of the table's manifest, so no row of the table is read. A load that died before
+    its manifest was published added nothing; the next one adds its days once.
+    """
+    d = F.col(date_col).cast("date")
+    return table.append_new_slices(new if since is None else new.where(d >= F.lit(since).cast("date")), d)
 
 
 UPSERT_COLS = ["scraped_at", "title", "meta_description", "word_count"]
@@ -182,6 +177,19 @@ def upsert_scrape_pages(existing: DataFrame | None, incoming: DataFrame, order_c
                              for c in UPSERT_COLS], *rest)
 
 
+URL_BUCKETS = 64            # slices of a page table: an upsert rewrites those that it touches
+
+
+def url_bucket(buckets: int = URL_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64("url"), F.lit(buckets))
+
+
+def upsert_scrape_table(table: ManifestTable, incoming: DataFrame, writer: str | None = None, mark=None,
+                        buckets: int = URL_BUCKETS) -> list[str]:
+    """I-07 sink: upsert into a stored page table; only the URL buckets that ``incoming`` touches are read and written."""
+    return table.upsert(incoming, url_bucket(buckets), upsert_scrape_pages, writer, mark)
+
+
 # Column defaults of the reference schema.
 DEFAULTS = {
     "raw_ga4_sessions": {"sessions": 1, "new_users": 0, "pageviews": 0, "bounce": False, "conversions": 0,
@@ -361,8 +369,33 @@ def upsert_scrapes(t):
     """I-07: upsert the first crawl into an empty table, then the second crawl over it."""
     from webstats.sources.feeds import scrape_feed
     clean = clean_scrape(scrape_feed(t), as_of=SCRAPE_AS_OF)
-    first = upsert_scrape_pages(None, clean.where(F.col("crawl_no") == 1))
-    return upsert_scrape_pages(first, clean.where(F.col("crawl_no") == 2))
+    table = ManifestTable(t.spark, scratch_path(t.spark, f"upsert/{uuid.uuid4().hex}"))
+    for crawl in (1, 2):
+        upsert_scrape_table(table, clean.where(F.col("crawl_no") == crawl))
+    return table.read()
+
+
+def _loaded_in_two_runs(t, new: DataFrame, date_col: str, name: str, first_before: str, since: str) -> DataFrame:
+    """I-06: a first load of the days before ``first_before``, then an incremental run over everything from ``since`` on."""
+    table = ManifestTable(t.spark, scratch_path(t.spark, f"incremental-{name}/{uuid.uuid4().hex}"))
+    load_incremental(table, new.where(F.col(date_col).cast("date") < F.lit(first_before).cast("date")), None, date_col)
+    load_incremental(table, new, since, date_col)
+    return table.read()
+
+
+def load_incremental_ga4(t, first_before: str = "1997-01-01", since: str = "1996-06-01"):
+    """I-06 on the cleaned sessions; days between the first load and ``since`` stay out, loaded days are not loaded again."""
+    return _loaded_in_two_runs(t, ingest_ga4(t), "session_date", "ga4", first_before, since)
+
+
+def load_incremental_clickstream(t, first_before: str = "2024-01-12", since: str = "2024-01-15"):
+    """I-06 on the cleaned events."""
+    return _loaded_in_two_runs(t, ingest_clickstream(t), "event_time", "clickstream", first_before, since)
+
+
+def load_incremental_server_logs(t, first_before: str = "2024-01-15", since: str = "2024-01-10"):
+    """I-06 on the cleaned requests."""
+    return _loaded_in_two_runs(t, ingest_server_logs(t), "log_time", "server_logs", first_before, since)
 
 
 def pipeline_summary(t):
@@ -393,6 +426,8 @@ def export_channel_csv(t):
 INGEST = {
     "ingest_ga4": ingest_ga4, "ingest_clickstream": ingest_clickstream, "ingest_server_logs": ingest_server_logs,
     "ingest_scrape_pages": ingest_scrape_pages, "load_full": load_full_logs, "load_incremental": incremental_log_rows,
+    "load_incremental_ga4": load_incremental_ga4, "load_incremental_clickstream": load_incremental_clickstream,
+    "load_incremental_server_logs": load_incremental_server_logs,
     "upsert_scrape_pages": upsert_scrapes, "pipeline_summary": pipeline_summary, "apply_defaults": ga4_with_defaults,
     "scrape_pages_from_html": scrape_pages_from_html, "export_csv": export_channel_csv,
     "log_load_stats": log_load_stats, "event_rejects": event_rejects,

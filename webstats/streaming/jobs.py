@@ -7,12 +7,11 @@ processed files replaces the date anti-join, so late files are not lost, and
 ``trigger(availableNow=True)`` processes whatever has arrived and stops.
 
 * ST-01: cleaned server logs / click events appended to Parquet, partitioned by day.
-* ST-02: hourly traffic with a 1-hour watermark and tumbling windows (append
-  mode emits a window once the watermark passes its end; distinct visitors
-  use a HyperLogLog sketch, as exact distinct counts are not streamable).
-* ST-03: page crawls upserted by URL in ``foreachBatch``; every micro-batch
-  writes a new version of the table from the previous one (never overwriting
-  the version being read), so a replayed batch rewrites the same version.
+* ST-02: hourly traffic with a 1-hour watermark and tumbling windows in update
+  mode: state per (hour, visitor), upserted into a table sliced by day, so that
+  open hours are there too and visitors are counted exactly.
+* ST-03: page crawls upserted by URL in ``foreachBatch``; a micro-batch rewrites
+  the URL buckets that it touches and publishes them by a manifest.
 
 Sinks and checkpoints live under the cluster's shared checkpoint folder.
 """
@@ -21,15 +20,18 @@ from __future__ import annotations
 
 import os
 import uuid
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webstats.functions.numeric import count_if, pg_round
-from webstats.operators.ingest import clean_clickstream, clean_scrape, clean_server_logs, upsert_scrape_pages
+from webstats.operators.ingest import clean_clickstream, clean_scrape, clean_server_logs, upsert_scrape_table
 from webstats.session import scratch_path
 from webstats.sources.adapters import Tables
 from webstats.sources.feeds import click_feed, log_feed, scrape_feed
+from webstats.sources.manifest import ManifestTable
 
 
 def stream_path(path: str) -> str:
@@ -93,68 +95,80 @@ def stream_ingest_clickstream(spark: SparkSession, sf_dir: str, sink: str | None
     return spark.read.parquet(out).drop("event_date")
 
 
-def hourly_traffic_stream(t: Tables, watermark: str = "1 hour") -> DataFrame:
-    """ST-02 plan: tumbling 1-hour windows over the request stream."""
+def hourly_visitors(t: Tables, watermark: str = "1 hour") -> DataFrame:
+    """ST-02 state: requests per hour and visitor, so that visitors are counted exactly and no hour is one state row."""
     logs = t.logs.withColumn("event_ts", F.col("log_time").cast("timestamp"))
-    sc = F.col("status_code")
-    g = (logs.withWatermark("event_ts", watermark)
-         .groupBy(F.window("event_ts", "1 hour").alias("w"))
-         .agg(F.count(F.lit(1)).alias("total_requests"),
-              F.approx_count_distinct("ip_address").alias("unique_visitors"),
-              pg_round(F.avg("response_time_ms"), 2).alias("avg_response_time_ms"),
-              count_if(sc >= 400).alias("error_requests")))
-    return g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-                    F.hour("w.start").alias("hour_of_day"),
-                    "total_requests", "unique_visitors", "avg_response_time_ms", "error_requests")
-
-
-def stream_hourly_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST-02: closed hourly windows of the request stream."""
-    out, ck = _run_dirs(spark, "hourly")
-    run_available_now(hourly_traffic_stream(StreamTables(spark, sf_dir)), out, ck)
-    return spark.read.parquet(out)
-
-
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
-
-
-def upsert_into_versions(root: str):
-    """foreachBatch function: state v=<batch> = upsert(latest committed state before <batch>, batch)."""
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prev = [v for v in _versions(spark, root) if v < batch_id]
-        existing = spark.read.parquet(f"{root}/v={prev[-1]:010d}") if prev else None
-        upsert_scrape_pages(existing, batch).write.mode("overwrite").parquet(f"{root}/v={batch_id:010d}")
-    return fn
-
-
-def latest_state(spark: SparkSession, root: str) -> DataFrame:
-    v = _versions(spark, root)
-    if not v:
-        raise FileNotFoundError(f"no committed state under {root}")
-    return spark.read.parquet(f"{root}/v={v[-1]:010d}")
-
-
-def stream_upsert_pages(spark: SparkSession, sf_dir: str, as_of: str = "2024-02-01 00:00:00") -> DataFrame:
-    """ST-03: crawls of the pages stream upserted by URL, one table version per micro-batch."""
-    t = StreamTables(spark, sf_dir, streaming=("pages",))
-    root, ck = _run_dirs(spark, "pages")
-    rows = clean_scrape(scrape_feed(t), as_of=as_of)
-    (rows.writeStream.foreachBatch(upsert_into_versions(root)).option("checkpointLocation", ck)
-     .trigger(availableNow=True).start().awaitTermination())
-    return latest_state(spark, root)
+    ms = F.col("response_time_ms")
+    return (logs.withWatermark("event_ts", watermark)
+            .groupBy(F.window("event_ts", "1 hour").alias("w"), "ip_address")
+            .agg(F.count(F.lit(1)).alias("requests"), F.sum(ms.cast("long")).alias("ms"), F.count(ms).alias("timed"),
+                 count_if(F.col("status_code") >= 400).alias("errors"))
+            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "ip_address", "requests", "ms", "timed", "errors"))
+
+
+def hourly_traffic(visitors: DataFrame) -> DataFrame:
+    """ST-02 result: one row per hour from its visitors."""
+    g = visitors.groupBy("window_start").agg(
+        F.sum("requests").alias("total_requests"), F.count("ip_address").alias("unique_visitors"),
+        pg_round(F.sum("ms") / F.sum("timed"), 2).alias("avg_response_time_ms"), F.sum("errors").alias("error_requests"))
+    return g.select("window_start", (F.col("window_start") + F.expr("INTERVAL 1 HOUR")).alias("window_end"),
+                    F.hour("window_start").alias("hour_of_day"), "total_requests", "unique_visitors", "avg_response_time_ms",
+                    "error_requests")
+
+
+def replace_rows(keys: list[str]):
+    """Merge for a table of keyed rows: incoming rows take the place of those with the same keys (NULL keys included)."""
+    def merge(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
+        if existing is None:
+            return incoming
+        same = reduce(and_, (existing[k].eqNullSafe(incoming[k]) for k in keys))
+        return existing.join(incoming, same, "left_anti").unionByName(incoming)
+    return merge
+
+
+def run_into_table(df: DataFrame, table: ManifestTable, checkpoint: str, upsert, output_mode: str = "append") -> None:
+    """Run a stream over what has arrived; ``upsert(table, batch, batch_id)`` puts each micro-batch into the table."""
+    (df.writeStream.outputMode(output_mode).foreachBatch(lambda batch, number: upsert(table, batch, number))
+     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
+
+
+def _upsert_hours(table: ManifestTable, batch: DataFrame, number: int) -> None:
+    # update mode: a batch holds the full present state of the (hour, visitor) pairs that it changed
+    batch = batch.persist()     # read for its days, then for its rows; released below
+    try:
+        table.upsert(batch, F.col("window_start").cast("date"), replace_rows(["window_start", "ip_address"]), "stream", number)
+    finally:
+        batch.unpersist()
+
+
+def stream_hourly_traffic(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
+    """ST-02: every hour of the request stream, open ones as far as they have come.
+
+    Update mode with an upserting sink: an hour is written as soon as it has requests and again when it changes; days
+    that a batch doesn't touch stay where they are, and a replayed batch does nothing.
+    """
+    base = root or scratch_path(spark, f"streams/hourly/{uuid.uuid4().hex}")
+    table = ManifestTable(spark, f"{base}/out")
+    run_into_table(hourly_visitors(StreamTables(spark, sf_dir)), table, f"{base}/checkpoint", _upsert_hours, "update")
+    return hourly_traffic(table.read())
+
+
+def _upsert_pages(table: ManifestTable, batch: DataFrame, number: int) -> None:
+    batch = batch.persist()
+    try:
+        upsert_scrape_table(table, batch, "stream", number)
+        table.vacuum()
+    finally:
+        batch.unpersist()
+
+
+def stream_upsert_pages(spark: SparkSession, sf_dir: str, as_of: str = "2024-02-01 00:00:00", root: str | None = None) -> DataFrame:
+    """ST-03: crawls of the pages stream upserted by URL; a micro-batch rewrites the URL buckets that it touches."""
+    base = root or scratch_path(spark, f"streams/pages/{uuid.uuid4().hex}")
+    table = ManifestTable(spark, f"{base}/out")
+    rows = clean_scrape(scrape_feed(StreamTables(spark, sf_dir, streaming=("pages",))), as_of=as_of)
+    run_into_table(rows, table, f"{base}/checkpoint", _upsert_pages)
+    return table.read()
 
 
 STREAMS = {
