@@ -7,9 +7,14 @@ during the merging of the two could a merge across their border have gone
 first.  Compatibility of all adjacent pairs of a batch is tested with array
 operations; only words with a failing token or pair are merged exactly.
 
-Words are the pieces of white-space separated chunks.  Chunk results are kept
-in a bounded per-task table, since chunks repeat; texts are then assembled from
-it.  The text is handled whole, in memory proportional to the batch.
+The words that fail are merged together: each round merges the lowest-ranked pair
+of every word that still has one.
+
+Words are the pieces of white-space separated chunks.  Results of chunks and of
+pieces are kept in bounded per-task tables, since both repeat; a full table becomes
+the older generation, from which what is still used comes back.  Texts are then
+assembled from the chunks.  The text is handled whole, in memory proportional to
+the batch.
 
 Defined results: a null or empty text has no tokens and decodes to the empty
 string; tied and repeated rows are encoded alike, row by row; an empty table
@@ -21,17 +26,23 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import unicodedata
+from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CACHE_CHUNKS = 300_000      # chunk results kept per task: bounds memory, never the input
+KEPT_CHUNKS = 150_000       # results of chunks, and of pieces, per generation of a task's tables: bounds memory, never the input
+KEPT_PIECES = 150_000
+LONG_PIECE = 64             # letters above which a piece is merged by itself
 BATCH_BYTES = 4_000_000     # UTF-8 bytes handled at a time
 NEVER = np.int64(1) << 40
+LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 
 # fixed values: the piece pattern and the word-end mark that the vocabulary file states
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -80,9 +91,16 @@ class MergeTable:
         key = left * self.size + right
         by = np.argsort(key, kind="stable")
         self.keys, self.rank_of_key = key[by], order[by]
+        self.made = made
         self.pair_rank = {(int(a), int(b)): (i, int(c)) for i, (a, b, c) in enumerate(zip(left, right, made))}
         self.sound = self._sound_tokens(left, right, made)
-        self.longest = max(len(t.removesuffix(WORD_END)) for t in vocab)
+        # letters of the longest token by its first two letters, apart for tokens that end a word
+        self.reach: dict[str, int] = {}
+        self.reach_end: dict[str, int] = {}
+        for t in vocab:
+            plain = t.removesuffix(WORD_END)
+            reach = self.reach if plain == t else self.reach_end
+            reach[plain[:2]] = max(reach.get(plain[:2], 0), len(plain))
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a * self.size + b
@@ -127,11 +145,13 @@ class MergeTable:
     def propose(self, piece: str) -> list[int] | None:
         """Greedy longest match of a piece; None if some letter is not in the vocabulary."""
         get, out, at, end = self.vocab.get, [], 0, len(piece)
+        reach, reach_end = self.reach.get, self.reach_end.get
         while at < end:
-            if end - at <= self.longest and (t := get(piece[at:] + WORD_END)) is not None:
+            head = piece[at:at + 2]
+            if end - at <= reach_end(head, 0) and (t := get(piece[at:] + WORD_END)) is not None:
                 out.append(t)
                 return out
-            for stop in range(min(end - 1, at + self.longest), at, -1):
+            for stop in range(min(end - 1, at + max(1, reach(head, 1))), at, -1):
                 if (t := get(piece[at:stop])) is not None:
                     out.append(t)
                     at = stop
@@ -166,6 +186,36 @@ class MergeTable:
                     heapq.heappush(heap, (r[0], p, tokens[p], tokens[q]))
         return [t for t in tokens if t >= 0]
 
+    def merge_all(self, pieces: list[str]) -> list[list[int]]:
+        """Exact merging of many pieces together: per round the lowest step of each piece, the leftmost among equals."""
+        from itertools import chain
+
+        get = self.vocab.get
+        rows = [[t for t in map(get, [*p[:-1], p[-1] + WORD_END]) if t is not None] for p in pieces]
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        flat = np.fromiter(chain.from_iterable(rows), np.int64, int(sizes.sum()))
+        owner = np.repeat(np.arange(len(rows)), sizes)
+        out: list[list[int]] = [[]] * len(pieces)
+        while len(flat):
+            rank = np.full(len(flat), NEVER)
+            inner = np.flatnonzero(owner[1:] == owner[:-1])
+            rank[inner] = self.ranks(flat[inner], flat[inner + 1])
+            start = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+            least = np.minimum.reduceat(rank, start)
+            run = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(flat))))
+            done = least[run] == NEVER
+            # pieces without a pair to merge are ready
+            for i, a, b in zip(owner[start[least == NEVER]].tolist(), start[least == NEVER].tolist(),
+                               np.append(start, len(flat))[1:][least == NEVER].tolist()):
+                out[i] = flat[a:b].tolist()
+            at = np.flatnonzero((rank == least[run]) & ~done)
+            at = at[np.concatenate(([True], run[at][1:] != run[at][:-1]))] if len(at) else at
+            flat[at] = self.made[rank[at]]
+            keep = ~done
+            keep[at + 1] = False
+            flat, owner = flat[keep], owner[keep]
+        return out
+
     def encode_pieces(self, pieces: list[str]) -> list[list[int]]:
         """Tokens of every piece: propose all, verify all pairs at once, merge only what fails."""
         out = [self.propose(p) for p in pieces]
@@ -178,8 +228,32 @@ class MergeTable:
         pairs, which = np.unique(flat[inner] * self.size + flat[inner + 1], return_inverse=True)
         good = self.compatible(pairs // self.size, pairs % self.size)
         failed[owner[inner[~good[which]]]] = True
-        for i in np.flatnonzero(failed):
+        again = np.flatnonzero(failed).tolist()
+        for i in (i for i in again if len(pieces[i]) > LONG_PIECE):
             out[i] = self.merge(pieces[i])
+        short = [i for i in again if len(pieces[i]) <= LONG_PIECE]
+        for i, tokens in zip(short, self.merge_all([pieces[i] for i in short])):
+            out[i] = tokens
+        return out
+
+
+class Generations:
+    """A bounded table: a full one becomes the older generation, and what is used of it comes back to the new one."""
+
+    def __init__(self, most: int):
+        self.most, self.new, self.old = most, {}, {}
+
+    def missing(self, keys) -> list:
+        """Keys without a value; those of the older generation are taken over. To be called before the keys are read."""
+        if len(self.new) > self.most:
+            self.old, self.new = self.new, {}
+        new, old, out = self.new, self.old, []
+        for k in keys:
+            if k not in new:
+                if k in old:
+                    new[k] = old[k]
+                else:
+                    out.append(k)
         return out
 
 
@@ -189,15 +263,23 @@ class Codec:
     def __init__(self, spec: dict):
         import regex
 
-        self.table = MergeTable(spec["vocab"], spec["merges"])
+        self.spec = spec
         self.special = spec["special"]
-        self.token_of = {i: t for t, i in (spec["vocab"] | spec["special"]).items()}
         self.letters = _byte_letters()
         self.pieces = regex.compile(PIECES)
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.odd_blank = re.compile("[\x1c-\x1f]")
         self.blank = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-        self.chunks: dict[str, bytes] = {}
+        self.chunks, self.known = Generations(KEPT_CHUNKS), Generations(KEPT_PIECES)
+
+    @cached_property
+    def table(self) -> MergeTable:
+        return MergeTable(self.spec["vocab"], self.spec["merges"])
+
+    @cached_property
+    def names(self) -> list[str]:
+        name_of = {i: t for t, i in (self.spec["vocab"] | self.spec["special"]).items()}
+        return [name_of.get(i, "") for i in range(max(name_of) + 1)]
 
     def _chunks_of(self, text: str) -> list[str]:
         """White-space separated chunks; a special token's string is a chunk of its own."""
@@ -229,13 +311,14 @@ class Codec:
                 found = self._byte_pieces(c)
                 pieces.extend(found)
                 owner.extend([i] * len(found))
-        distinct = list(dict.fromkeys(pieces))
-        tokens = dict(zip(distinct, self.table.encode_pieces(distinct)))
+        new = self.known.missing(dict.fromkeys(pieces))
+        self.known.new.update(zip(new, self.table.encode_pieces(new)))
+        tokens = self.known.new
         ids: list[list[int]] = [[self.special[c]] if c in self.special else [] for c in chunks]
         for i, p in zip(owner, pieces):
             ids[i].extend(tokens[p])
         for c, x in zip(chunks, ids):
-            self.chunks[c] = np.array(x, "<u4").tobytes()
+            self.chunks.new[c] = array("I", x).tobytes() if LITTLE else np.array(x, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as packed little-endian 32-bit integers."""
@@ -246,22 +329,15 @@ class Codec:
                 split.append(self._chunks_of(texts[at]))
                 size += len(texts[at])
                 at += 1
-            new = {c for chunks in split for c in chunks if c not in self.chunks}
-            if len(self.chunks) + len(new) > CACHE_CHUNKS:
-                self.chunks.clear()
-                new = {c for chunks in split for c in chunks}
-            self._learn(list(new))
-            known = self.chunks.__getitem__
+            self._learn(self.chunks.missing(set().union(*split)))
+            known = self.chunks.new.__getitem__
             out.extend(b"".join(map(known, chunks)) for chunks in split)
         return out
 
     def decode(self, ids: list[bytes]) -> list[str]:
         """Tokens joined by a blank: what a vocabulary without a decoder gives."""
-        name = [self.token_of.get(i, "") for i in range(max(self.token_of) + 1)]
-        out = []
-        for b in ids:
-            out.append(" ".join([name[i] for i in np.frombuffer(b, "<u4").tolist()]))
-        return out
+        name = self.names.__getitem__
+        return [" ".join(map(name, np.frombuffer(b, "<u4").tolist())) for b in ids]
 
 
 def _extended(df: DataFrame, fields: list[T.StructField]) -> T.StructType:
