@@ -31,6 +31,7 @@ import unicodedata
 from array import array
 from collections.abc import Iterator
 from functools import cached_property
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -39,8 +40,9 @@ from pyspark.sql import types as T
 
 KEPT_CHUNKS = 150_000       # results of chunks, and of pieces, per generation of a task's tables: bounds memory, never the input
 KEPT_PIECES = 150_000
+LEARNED = 20_000            # pieces proposed and verified at a time
 LONG_PIECE = 64             # letters above which a piece is merged by itself
-BATCH_BYTES = 4_000_000     # UTF-8 bytes handled at a time
+BATCH_BYTES = 2_000_000     # UTF-8 bytes handled at a time
 NEVER = np.int64(1) << 40
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 
@@ -237,6 +239,11 @@ class MergeTable:
         return out
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit integers."""
+    return array("I", ids).tobytes() if LITTLE else np.array(ids, "<u4").tobytes()
+
+
 class Generations:
     """A bounded table: a full one becomes the older generation, and what is used of it comes back to the new one."""
 
@@ -305,20 +312,22 @@ class Codec:
         return ["".join([letters[b] for b in p.encode()]) for p in self.pieces.findall(chunk)]
 
     def _learn(self, chunks: list[str]) -> None:
-        owner, pieces = [], []
-        for i, c in enumerate(chunks):
-            if c not in self.special:
-                found = self._byte_pieces(c)
-                pieces.extend(found)
-                owner.extend([i] * len(found))
+        pieces, counts = [], []
+        for c in chunks:
+            found = [] if c in self.special else self._byte_pieces(c)
+            pieces.extend(found)
+            counts.append(len(found))
         new = self.known.missing(dict.fromkeys(pieces))
-        self.known.new.update(zip(new, self.table.encode_pieces(new)))
         tokens = self.known.new
-        ids: list[list[int]] = [[self.special[c]] if c in self.special else [] for c in chunks]
-        for i, p in zip(owner, pieces):
-            ids[i].extend(tokens[p])
-        for c, x in zip(chunks, ids):
-            self.chunks.new[c] = array("I", x).tobytes() if LITTLE else np.array(x, "<u4").tobytes()
+        for i in range(0, len(new), LEARNED):
+            part = new[i:i + LEARNED]
+            tokens.update(zip(part, map(_packed, self.table.encode_pieces(part))))
+        each = map(tokens.__getitem__, pieces)
+        for c, n in zip(chunks, counts):
+            if n == 1:
+                self.chunks.new[c] = next(each)
+            else:
+                self.chunks.new[c] = _packed([self.special[c]]) if c in self.special else b"".join(islice(each, n))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as packed little-endian 32-bit integers."""
