@@ -55,9 +55,9 @@ def _fill_numeric(df: DataFrame) -> DataFrame:
 
 
 def clean_ga4(df: DataFrame) -> DataFrame:
-    """I-01."""
+    """I-01. A row whose date doesn't parse is no session of any day: it is left out (and reported as a reject)."""
     df = _strip_strings(df)
-    df = df.withColumn("session_date", F.try_to_date("session_date"))
+    df = df.withColumn("session_date", F.try_to_date("session_date")).where(F.col("session_date").isNotNull())
     df = _fill_numeric(df)
     df = df.withColumnsRenamed({"channel": "channel_grouping", "avg_session_duration": "session_duration_s"})
     df = df.withColumn("bounce", F.col("bounce_rate") > 0.5)
@@ -290,7 +290,13 @@ def log_load_stats(t) -> DataFrame:
 
 def event_rejects(t) -> DataFrame:
     """DQ-08: rows dropped or repaired by cleaning, by pipeline and reason."""
-    from webstats.sources.feeds import click_feed, log_feed, scrape_feed
+    from webstats.sources.feeds import click_feed, ga4_feed, log_feed, scrape_feed
+    ga4 = _strip_strings(ga4_feed(t)).select(F.lit("ga4").alias("pipeline"), F.filter(F.array(
+        F.when(F.try_to_date("session_date").isNull(),
+               F.struct(F.lit("bad_date").alias("reason"), F.col("session_date").alias("detail"))),
+        F.when(F.col("sessions").isNull(),
+               F.struct(F.lit("filled_sessions").alias("reason"), F.lit(None).cast("string").alias("detail")))),
+        lambda x: x.isNotNull()).alias("r"))
     c = _strip_strings(click_feed(t))
     c_ts = _ts(F.col("event_timestamp")).isNotNull()
     c_ok_type = F.col("event_type").isin(VALID_EVENT_TYPES)
@@ -322,7 +328,7 @@ def event_rejects(t) -> DataFrame:
         F.when(kept & _ts(F.col("scraped_at")).isNull(),
                F.struct(F.lit("bad_scraped_at").alias("reason"), F.lit(None).cast("string").alias("detail")))),
         lambda x: x.isNotNull()).alias("r"))
-    rows = click.unionByName(logs).unionByName(scrape).select("pipeline", F.explode("r").alias("x"))
+    rows = ga4.unionByName(click).unionByName(logs).unionByName(scrape).select("pipeline", F.explode("r").alias("x"))
     return rows.groupBy("pipeline", F.col("x.reason").alias("reason"), F.col("x.detail").alias("detail")).agg(
         F.count(F.lit(1)).alias("rows"))
 

@@ -64,6 +64,11 @@ from webstats.operators.ingest import INGEST  # noqa: E402
 for _name, _fn in INGEST.items():
     register(_name, _fn)
 
+from webstats.sources.csvfeeds import CSV  # noqa: E402
+
+for _name, _fn in CSV.items():
+    register(_name, _fn)
+
 from webstats.plans.detection import DETECTION  # noqa: E402
 
 for _name, _fn in DETECTION.items():

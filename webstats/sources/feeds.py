@@ -10,13 +10,13 @@ invalid event type (``purchase``), out-of-range scroll depths, URLs with host,
 query and fragment, empty URLs, URLs without a scheme, upper-case hosts with
 trailing slashes, negative and non-numeric word counts, NULL numerics.
 
-For files on storage use ``read_csv_feed`` with the schemas below (no schema
-inference at scale).
+``sources.csvfeeds`` reads the same exports as CSV files with the schemas below
+(no schema inference at scale).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,14 +41,6 @@ SCRAPE_CSV = T.StructType([T.StructField(n, t) for n, t in [
     ("word_count", T.StringType()), ("scraped_at", T.StringType()), ("page_type", T.StringType()),
     ("load_time_ms", T.IntegerType()), ("internal_links", T.IntegerType()), ("external_links", T.IntegerType())]])
 
-CSV_SCHEMAS = {"ga4_sessions": GA4_CSV, "clickstream_events": CLICK_CSV, "server_logs": LOG_CSV,
-               "scrape_pages": SCRAPE_CSV}
-
-
-def read_csv_feed(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """Read an exported CSV with its explicit schema (header row, no inference)."""
-    return spark.read.option("header", True).option("mode", "PERMISSIVE").schema(CSV_SCHEMAS[kind]).csv(path)
-
 
 def ga4_feed(t) -> DataFrame:
     g = t.ga4

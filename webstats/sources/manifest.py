@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from webstats.sources.files import Folder
 
 SLICE = "_slice"
+TOGETHER = "together"       # the part of a folder that holds the slices of one load
 NONE = "none"               # the slice of rows whose slice is NULL
 KEPT_VERSIONS = 2           # manifests (and the folders that they name) that a vacuum leaves
 
@@ -65,37 +66,45 @@ class ManifestTable:
         if now["schema"] is None:
             return None
         schema = T.StructType.fromJson(json.loads(now["schema"]))
-        paths = [f"{self.folder.root}/{p}" for s, p in now["slices"].items() if slices is None or s in slices]
+        chosen = now["slices"] if slices is None else {s: now["slices"][s] for s in slices}
+        if slices is not None and set(chosen.values()) & {p for s, p in now["slices"].items() if s not in chosen}:
+            raise ValueError("these slices were loaded together with others")
+        paths = sorted({f"{self.folder.root}/{p}" for p in chosen.values()})
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
     # ---- changes -----------------------------------------------------------------------
 
-    def replace(self, rows: DataFrame, slice_of: Column, writer: str | None = None, mark=None, all_slices: bool = False) -> dict[str, str]:
-        """Write ``rows`` (whole slices, told by the column ``slice_of``) and publish them.
-
-        ``all_slices``: the rows are the whole table, so slices that they don't have go.  Returns the folders written.
-        """
-        now = self.manifest()
+    def replace(self, rows: DataFrame, slice_of: Column, writer: str | None = None, mark=None) -> dict[str, str]:
+        """Write ``rows`` (whole slices, told by the column ``slice_of``) and publish them; returns the folders written."""
         data = f"data/{uuid.uuid4().hex}"
-        plain = rows.drop(SLICE)
         (rows.withColumn(SLICE, _named(slice_of)).hint("rebalance", SLICE).write.partitionBy(SLICE)
          .parquet(f"{self.folder.root}/{data}"))
         written = {name.split("=", 1)[1]: f"{data}/{name}" for name in self.folder.names(data) if name.startswith(f"{SLICE}=")}
-        state = {"version": now["version"] + 1, "slices": ({} if all_slices else now["slices"]) | written,
-                 "marks": now["marks"] | ({writer: mark} if writer else {}), "schema": plain.schema.json()}
+        self._publish(written, rows, writer, mark)
+        return written
+
+    def _publish(self, written: dict[str, str], rows: DataFrame, writer: str | None, mark) -> None:
+        now = self.manifest()
+        state = {"version": now["version"] + 1, "slices": now["slices"] | written,
+                 "marks": now["marks"] | ({writer: mark} if writer else {}), "schema": rows.schema.json()}
         if not self.folder.publish(f"manifest/v={state['version']:010d}.json", json.dumps(state)):
             raise RuntimeError(f"{self.folder.root}: version {state['version']} was published by another writer")
-        return written
 
     def append_new_slices(self, rows: DataFrame, slice_of: Column, writer: str | None = None, mark=None) -> list[str]:
-        """Add the rows of slices that the table doesn't have; rows of known slices are left out.  Returns the new slices."""
+        """Add the rows of slices that the table doesn't have; rows of known slices are left out.  Returns the new slices.
+
+        One load is one folder, sorted by slice: thousands of days need no thousands of files.
+        """
         named = rows.withColumn(SLICE, _named(slice_of))
         # slices of the batch: days, never rows
         new = sorted({r[0] for r in named.select(SLICE).distinct().collect()} - set(self.manifest()["slices"]))
         if new or self.manifest()["schema"] is None:
-            self.replace(named.where(F.col(SLICE).isin(new)).drop(SLICE), slice_of, writer, mark)
+            data = f"data/{uuid.uuid4().hex}/{TOGETHER}"
+            rows = named.where(F.col(SLICE).isin(new)).hint("rebalance", SLICE).sortWithinPartitions(SLICE).drop(SLICE)
+            rows.write.parquet(f"{self.folder.root}/{data}")
+            self._publish({s: data for s in new}, rows, writer, mark)
         return new
 
     def upsert(self, incoming: DataFrame, slice_of: Column, merge: Callable[[DataFrame | None, DataFrame], DataFrame],
