@@ -504,3 +504,17 @@ def test_pipeline_odd_rows(spark, odd):
             frame = P.stored(stage(spark, frame, SF), f"test-{name}")
             assert frame.columns == docs.columns
         assert P.STAGES[-1][1](spark, frame, SF).count() == frame.count()
+
+
+def test_pipeline_keeps_clean_rows_without_or_with_equal_ids(spark):
+    """Null ids and different texts under one id stay; copies stay once; contaminated rows go whatever their id."""
+    import corpus_pipeline as P
+    prose = [" ".join(f"{w}{i}" for i in range(30)) for w in ("alpha", "beta", "gamma", "delta")]
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    leak = max((r["text"] for r in items.collect()), key=len)
+    rows = [(None, prose[0]), (None, prose[0]), (None, prose[1]), (None, leak), (5, prose[2]), (5, prose[3]), (5, prose[3]), (6, leak)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    once = P.stored(P.one_of_each_class(spark, docs, SF), "test-once")
+    assert sorted(map(tuple, once.collect()), key=str) == sorted(set(rows), key=str)
+    clean = P.decontaminate(spark, once, SF)
+    assert sorted(map(tuple, clean.collect()), key=str) == sorted({r for r in rows if r[1] != leak}, key=str)

@@ -140,6 +140,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` without the documents that give away an item."""
-    found = stored(find_contamination(docs, benchmark, key).select(F.col("doc_id").alias(key)).distinct(), "contaminated")
-    return docs.join(found, key, "left_anti").select(*docs.columns)
+    """``docs`` without the documents that give away an item; rows without a key are judged by their texts."""
+    def hit(rows: DataFrame, by: str) -> DataFrame:
+        return stored(find_contamination(rows, benchmark, by).select(F.col("doc_id").alias(by)).distinct(), "contaminated")
+
+    clean = docs.join(hit(docs, key), key, "left_anti").select(*docs.columns)
+    nameless = docs.where(F.col(key).isNull())
+    if not nameless.limit(1).count():
+        return clean
+    nameless = nameless.withColumn("_of_text", F.xxhash64("text"))
+    judged = nameless.join(hit(nameless.select("_of_text", "text"), "_of_text"), "_of_text", "left_anti").select(*docs.columns)
+    return clean.where(F.col(key).isNotNull()).unionByName(judged)
