@@ -41,9 +41,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of linked documents: the one with the smallest id (a repeated id stays once)."""
+    """One document of each class of linked documents: the one with the smallest id.
+
+    Different texts under one id all stay if one of them does, equal ones once. Rows without an id are in no class:
+    each of their texts stays once.
+    """
     classes = link_classes(docs).where(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(classes, "doc_id").dropDuplicates(["doc_id"]).select(*docs.columns)
+    kept = docs.join(classes, "doc_id").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()).dropDuplicates(["text"]))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
