@@ -133,19 +133,58 @@ def ua_device(ua) -> Column:
 
 _OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]|[0-9])"
 IPV4_RE = rf"^{_OCTET}(\.{_OCTET}){{3}}$"
-IPV6_RE = (r"^(([0-9a-f]{1,4}:){7}[0-9a-f]{1,4}|([0-9a-f]{1,4}:){1,7}:|"
-           r"([0-9a-f]{1,4}:){1,6}:[0-9a-f]{1,4}|([0-9a-f]{1,4}:){1,5}(:[0-9a-f]{1,4}){1,2}|"
-           r"([0-9a-f]{1,4}:){1,4}(:[0-9a-f]{1,4}){1,3}|([0-9a-f]{1,4}:){1,3}(:[0-9a-f]{1,4}){1,4}|"
-           r"([0-9a-f]{1,4}:){1,2}(:[0-9a-f]{1,4}){1,5}|[0-9a-f]{1,4}:(:[0-9a-f]{1,4}){1,6}|"
-           r":((:[0-9a-f]{1,4}){1,7}|:))$")
+IPV4_TAIL_RE = rf"^(.*:)({_OCTET}(?:\.{_OCTET}){{3}})$"
+
+
+def _hex_groups(text: Column) -> Column:
+    return F.filter(F.split(text, ":"), lambda g: g != "")
+
+
+def _ipv4_as_groups(quad: Column) -> Column:
+    """The last four octets as two hexadecimal groups."""
+    o = F.transform(F.split(quad, "[.]"), lambda x: x.try_cast("int"))
+    pair = lambda i: F.lower(F.hex(F.get(o, F.lit(i)) * 256 + F.get(o, F.lit(i + 1))))     # noqa: E731
+    return F.concat(pair(0), F.lit(":"), pair(2))
+
+
+def ipv6_normal(ip) -> Column:
+    """The normal form of an IPv6 address, NULL if it is none.
+
+    Eight groups without leading zeros in lower case, the longest run of two or more zero groups (the first of equal
+    ones) written ``::``. Accepted are ``::`` for one or more groups, a dotted IPv4 tail and a zone (``%eth0``), which stays.
+    """
+    whole = _c(ip)
+    zone = F.regexp_extract(whole, r"^[^%]*(%[^%]+)$", 1)
+    text = F.lower(F.when(zone != "", F.regexp_extract(whole, "^([^%]*)%", 1)).otherwise(whole))
+    quad = F.regexp_extract(text, IPV4_TAIL_RE, 2)
+    text = F.when(quad != "", F.concat(F.regexp_extract(text, IPV4_TAIL_RE, 1), _ipv4_as_groups(quad))).otherwise(text)
+    sides = F.split(text, "::")
+    short = F.size(sides) == 2
+    left, right = _hex_groups(F.get(sides, F.lit(0))), F.when(short, _hex_groups(F.get(sides, F.lit(1)))).otherwise(F.array().cast("array<string>"))
+    n = F.size(left) + F.size(right)
+    zeros = F.array_repeat(F.lit("0"), F.when(short, 8 - n).otherwise(0))
+    groups = F.transform(F.concat(left, zeros, right), lambda g: F.regexp_replace(g, "^0+(?=.)", ""))
+    # single colons only between groups; without "::" there are eight of them, with it at most seven
+    ok = (text.rlike("^(([0-9a-f]{1,4}:)*[0-9a-f]{1,4})?(::(([0-9a-f]{1,4}:)*[0-9a-f]{1,4})?)?$")
+          & (F.when(short, n <= 7).otherwise(n == 8)))
+    joined = F.concat(F.lit(":"), F.array_join(groups, ":"), F.lit(":"))
+    # the longest run wins, the first of equal ones: tried from the longest on
+    best = F.lit(None).cast("string")
+    for k in range(2, 9):
+        run = ":" + "0:" * k
+        best = F.when(F.contains(joined, F.lit(run)), F.regexp_replace(joined, f"^(.*?){run}", "$1::")).otherwise(best)
+    packed = F.regexp_replace(F.regexp_replace(F.coalesce(best, joined), "^:(?!:)", ""), "(?<!:):$", "")
+    # IPv4-mapped addresses are written with a dotted tail
+    two = F.transform(F.slice(groups, 7, 2), lambda g: F.conv(g, 16, 10).cast("int"))
+    dotted = F.concat_ws(".", F.flatten(F.transform(two, lambda g: F.array((g / 256).cast("int").cast("string"), (g % 256).cast("string")))))
+    mapped = F.array_join(F.slice(groups, 1, 6), ":") == "0:0:0:0:0:ffff"
+    return F.when(ok, F.concat(F.when(mapped, F.concat(F.lit("::ffff:"), dotted)).otherwise(packed), zone))
 
 
 def parse_ip(ip) -> Column:
-    """F-09: trimmed IPv4/IPv6 text, NULL when invalid or missing."""
+    """F-09: trimmed IPv4 text or IPv6 normal form, NULL when invalid or missing."""
     t = F.trim(_c(ip).cast("string"))
-    low = F.lower(t)
-    return (F.when(t.rlike(IPV4_RE), t).when(low.rlike(IPV6_RE), low)
-            .otherwise(F.lit(None).cast("string")))
+    return F.when(t.rlike(IPV4_RE), t).when(F.contains(t, F.lit(":")), ipv6_normal(t)).otherwise(F.lit(None).cast("string"))
 
 
 def parse_timestamp(ts) -> Column:

@@ -7,7 +7,7 @@ those export shapes from the driver data, deterministically and row for row,
 so the cleaning operators (I-01..I-04) run over the whole tables and every
 cleaning branch is exercised: padded strings, unparseable timestamps, an
 invalid event type (``purchase``), out-of-range scroll depths, URLs with host,
-query and fragment, empty URLs, URLs without a scheme, upper-case hosts with
+query and fragment, IPv6 addresses in long spelling, empty URLs, URLs without a scheme, upper-case hosts with
 trailing slashes, negative and non-numeric word counts, NULL numerics.
 
 ``sources.csvfeeds`` reads the same exports as CSV files with the schemas below
@@ -85,10 +85,12 @@ def click_feed(t) -> DataFrame:
 def log_feed(t) -> DataFrame:
     lg = t._logs_keyed
     eid = F.col("event_id")
+    user = F.element_at(F.split("ip_address", "[.]"), -1).cast("long")
     return lg.select(
         F.when(eid % 97 == 0, F.lit("bad-time"))
          .otherwise(F.date_format("log_time", "yyyy-MM-dd'T'HH:mm:ss")).alias("log_timestamp"),
         F.when(eid % 17 == 0, F.concat(F.lit(" "), F.col("ip_address"), F.lit(" ")))
+         .when(eid % 19 == 3, F.concat(F.lit("2001:0DB8:0:0:0000:0:"), F.hex(eid % 9 + 1), F.lit(":"), F.lpad(F.hex(user), 4, "0")))
          .otherwise(F.col("ip_address")).alias("ip_address"),
         F.col("method").alias("request_method"),
         F.concat(F.lit("https://site.example.com:8443"), F.col("url"),
