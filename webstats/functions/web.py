@@ -136,15 +136,53 @@ IPV4_RE = rf"^{_OCTET}(\.{_OCTET}){{3}}$"
 IPV4_TAIL_RE = rf"^(.*:)({_OCTET}(?:\.{_OCTET}){{3}})$"
 
 
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _hex_groups(text: Column) -> Column:
     return F.filter(F.split(text, ":"), lambda g: g != "")
 
 
 def _ipv4_as_groups(quad: Column) -> Column:
     """The last four octets as two hexadecimal groups."""
-    o = F.transform(F.split(quad, "[.]"), lambda x: x.try_cast("int"))
-    pair = lambda i: F.lower(F.hex(F.get(o, F.lit(i)) * 256 + F.get(o, F.lit(i + 1))))     # noqa: E731
-    return F.concat(pair(0), F.lit(":"), pair(2))
+    octet = lambda o, i: F.get(o, F.lit(i)).cast("int")     # noqa: E731
+    pair = lambda o, i: F.lower(F.hex(octet(o, i) * 256 + octet(o, i + 1)))     # noqa: E731
+    return _bound(F.split(quad, "[.]"), lambda o: F.concat(pair(o, 0), F.lit(":"), pair(o, 2)))
+
+
+def _shortened(joined: Column) -> Column:
+    """Groups between colons (one at each end) with the longest run of zeros as ``::``; the first of equal runs."""
+    best = F.lit(None).cast("string")
+    for k in range(2, 9):
+        run = ":" + "0:" * k
+        best = F.when(F.contains(joined, F.lit(run)), F.regexp_replace(joined, f"^(.*?){run}", "$1::")).otherwise(best)
+    return F.regexp_replace(F.regexp_replace(F.coalesce(best, joined), "^:(?!:)", ""), "(?<!:):$", "")
+
+
+def _normal_groups(groups: Column) -> Column:
+    """Eight groups as text; IPv4-mapped addresses with a dotted tail."""
+    two = F.transform(F.slice(groups, 7, 2), lambda g: F.conv(g, 16, 10).cast("int"))
+    dotted = F.concat_ws(".", F.flatten(F.transform(two, lambda g: F.array((g / 256).cast("int").cast("string"), (g % 256).cast("string")))))
+    mapped = F.array_join(F.slice(groups, 1, 6), ":") == "0:0:0:0:0:ffff"
+    joined = F.concat(F.lit(":"), F.array_join(groups, ":"), F.lit(":"))
+    return F.when(mapped, F.concat(F.lit("::ffff:"), dotted)).otherwise(_bound(joined, _shortened))
+
+
+def _normal_text(text: Column) -> Column:
+    """The normal form of lower-case hexadecimal groups; NULL if they are no address."""
+    def of(sides: Column) -> Column:
+        short = F.size(sides) == 2
+        left = _hex_groups(F.get(sides, F.lit(0)))
+        right = F.when(short, _hex_groups(F.get(sides, F.lit(1)))).otherwise(F.array().cast("array<string>"))
+        n = F.size(left) + F.size(right)
+        zeros = F.array_repeat(F.lit("0"), F.when(short, 8 - n).otherwise(0))
+        groups = F.transform(F.concat(left, zeros, right), lambda g: F.regexp_replace(g, "^0+(?=.)", ""))
+        return F.when(F.when(short, n <= 7).otherwise(n == 8), _bound(groups, _normal_groups))
+    # single colons only between groups; without "::" there are eight of them, with it at most seven
+    form = "^(([0-9a-f]{1,4}:)*[0-9a-f]{1,4})?(::(([0-9a-f]{1,4}:)*[0-9a-f]{1,4})?)?$"
+    return F.when(text.rlike(form), _bound(F.split(text, "::"), of))
 
 
 def ipv6_normal(ip) -> Column:
@@ -156,29 +194,12 @@ def ipv6_normal(ip) -> Column:
     whole = _c(ip)
     zone = F.regexp_extract(whole, r"^[^%]*(%[^%]+)$", 1)
     text = F.lower(F.when(zone != "", F.regexp_extract(whole, "^([^%]*)%", 1)).otherwise(whole))
-    quad = F.regexp_extract(text, IPV4_TAIL_RE, 2)
-    text = F.when(quad != "", F.concat(F.regexp_extract(text, IPV4_TAIL_RE, 1), _ipv4_as_groups(quad))).otherwise(text)
-    sides = F.split(text, "::")
-    short = F.size(sides) == 2
-    left, right = _hex_groups(F.get(sides, F.lit(0))), F.when(short, _hex_groups(F.get(sides, F.lit(1)))).otherwise(F.array().cast("array<string>"))
-    n = F.size(left) + F.size(right)
-    zeros = F.array_repeat(F.lit("0"), F.when(short, 8 - n).otherwise(0))
-    groups = F.transform(F.concat(left, zeros, right), lambda g: F.regexp_replace(g, "^0+(?=.)", ""))
-    # single colons only between groups; without "::" there are eight of them, with it at most seven
-    ok = (text.rlike("^(([0-9a-f]{1,4}:)*[0-9a-f]{1,4})?(::(([0-9a-f]{1,4}:)*[0-9a-f]{1,4})?)?$")
-          & (F.when(short, n <= 7).otherwise(n == 8)))
-    joined = F.concat(F.lit(":"), F.array_join(groups, ":"), F.lit(":"))
-    # the longest run wins, the first of equal ones: tried from the longest on
-    best = F.lit(None).cast("string")
-    for k in range(2, 9):
-        run = ":" + "0:" * k
-        best = F.when(F.contains(joined, F.lit(run)), F.regexp_replace(joined, f"^(.*?){run}", "$1::")).otherwise(best)
-    packed = F.regexp_replace(F.regexp_replace(F.coalesce(best, joined), "^:(?!:)", ""), "(?<!:):$", "")
-    # IPv4-mapped addresses are written with a dotted tail
-    two = F.transform(F.slice(groups, 7, 2), lambda g: F.conv(g, 16, 10).cast("int"))
-    dotted = F.concat_ws(".", F.flatten(F.transform(two, lambda g: F.array((g / 256).cast("int").cast("string"), (g % 256).cast("string")))))
-    mapped = F.array_join(F.slice(groups, 1, 6), ":") == "0:0:0:0:0:ffff"
-    return F.when(ok, F.concat(F.when(mapped, F.concat(F.lit("::ffff:"), dotted)).otherwise(packed), zone))
+
+    def of(t: Column) -> Column:
+        quad = F.regexp_extract(t, IPV4_TAIL_RE, 2)
+        plain = F.when(quad != "", F.concat(F.regexp_extract(t, IPV4_TAIL_RE, 1), _ipv4_as_groups(quad))).otherwise(t)
+        return _bound(plain, _normal_text)
+    return F.concat(_bound(text, of), zone)
 
 
 def parse_ip(ip) -> Column:
