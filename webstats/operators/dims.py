@@ -79,14 +79,13 @@ def build_dim_pages(t) -> DataFrame:
                     "is_landing_page", "word_count", "first_seen", "last_seen"))
 
 
-def build_fct_sessions(t) -> DataFrame:
+def build_fct_sessions(g: DataFrame) -> DataFrame:
     """I-13: GA4 rows with date and page keys.
 
     The page key is a hash of the landing URL, the same expression that makes
     ``dim_pages.page_id``, so no join to the dimension is needed: every
     non-NULL landing page is a ``dim_pages`` row by construction.
     """
-    g = t.ga4
     return g.select(
         F.xxhash64("session_id", "session_date", "user_pseudo_id").alias("session_key"),
         "session_id", "user_pseudo_id",

@@ -29,7 +29,7 @@ VALID_TABLES = ["raw_ga4_sessions", "raw_server_logs", "raw_scrape_pages", "raw_
 
 def _as_of(t, as_of):
     if as_of is None:
-        return t.sessions.select(F.max("session_date")).scalar()
+        return t.latest_day
     return F.lit(as_of).cast("date")
 
 

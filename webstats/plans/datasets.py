@@ -60,7 +60,7 @@ def _d(x) -> Column:
 
 
 def _latest_date(t) -> Column:
-    return t.sessions.select(F.max("session_date")).scalar()
+    return t.latest_day
 
 
 def default_period(t, start=None, end=None):
@@ -73,14 +73,17 @@ def default_period(t, start=None, end=None):
 # ---- traffic page ----------------------------------------------------------------
 
 def traffic_kpis(t, start=None, end=None, channels=None) -> DataFrame:
-    """D-01: current vs previous equal-length period over vw_traffic, one pass.
+    """D-01: current vs previous equal-length period over vw_traffic, one pass over the days of both.
 
-    With explicit dates the bounds are literals (pushed to the scan); by
-    default they are anchored on the data's last day, a scalar subquery bound
-    once as a column so it runs once.
+    The two periods are one range of days, which reaches the scan: as literals with explicit dates or over the stored
+    layer (partitions outside are not read), else by a scalar subquery for the data's last day. The bounds are bound
+    once as columns for the split of the two.
     """
+    last = _d(end) if end is not None else _latest_date(t)
+    first = _d(start) if start is not None else F.date_sub(last, 29)
     v = apply_filters(V.vw_traffic(t), channels=channels)
-    v = v.withColumn("_end", _d(end) if end is not None else _latest_date(t))
+    v = v.where((F.col("session_date") <= last) & (F.col("session_date") >= F.date_sub(first, F.datediff(last, first) + 1)))
+    v = v.withColumn("_end", last)
     v = v.withColumn("_start", _d(start) if start is not None else F.date_sub(F.col("_end"), 29))
     days = F.datediff(F.col("_end"), F.col("_start")) + 1
     sd = F.col("session_date")

@@ -23,21 +23,18 @@ from webstats.sources.adapters import DIM_END, DIM_START
 
 def _as_of(t, as_of) -> Column:
     if as_of is None:
-        return t.sessions.select(F.max("session_date")).scalar()
+        return t.latest_day
     return F.lit(as_of).cast("date")
 
 
 def _fact_in_range(t, start: str, end: str) -> DataFrame:
     """fct_sessions rows whose calendar day lies in [start, end].
 
-    The reference filters through the dimension; since ``date_id`` is a pure
-    function of the date, the same range is also applied to the fact's
-    ``date_id`` so it reaches the scan (and partition pruning when the fact is
-    stored partitioned by ``date_id``). The inner join with the broadcast
-    calendar keeps the reference's semantics (facts outside it drop out).
+    The reference filters through the dimension; since ``date_id`` is a pure function of the date, the same range is
+    also applied to the fact, where it reaches the scan (pushed filters on the day, or partition pruning when the fact
+    is stored). The inner join with the calendar keeps the reference's semantics (facts outside it drop out).
     """
-    lo, hi = int(start.replace("-", "")), int(end.replace("-", ""))
-    return t.fct_sessions.where(F.col("date_id").between(lo, hi))
+    return t.fct_sessions_in(start, end)
 
 
 def _dates_in_range(t, start: str, end: str) -> DataFrame:

@@ -262,7 +262,17 @@ class Tables:
     @cached_property
     def fct_sessions(self) -> DataFrame:
         from webstats.operators.dims import build_fct_sessions
-        return build_fct_sessions(self)
+        return build_fct_sessions(self.ga4)
+
+    def fct_sessions_in(self, start: str, end: str) -> DataFrame:
+        """Facts of the days from ``start`` to ``end``; the range acts on the day itself, so it reaches the scan."""
+        from webstats.operators.dims import build_fct_sessions
+        return build_fct_sessions(self.ga4.where(F.col("session_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))))
+
+    @cached_property
+    def latest_day(self) -> Column:
+        """The last session date, as one scalar subquery over the date column."""
+        return self.sessions.select(F.max("session_date")).scalar()
 
     @cached_property
     def fct_events(self) -> DataFrame:

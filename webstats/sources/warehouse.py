@@ -16,11 +16,12 @@ from __future__ import annotations
 import os
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webstats.schemas import PARTITION_BY, conform
 from webstats.sources.adapters import Tables
+from webstats.sources.files import Folder
 
 LAYER = ["raw_ga4_sessions", "raw_server_logs", "raw_clickstream_events", "raw_scrape_pages",
          "dim_dates", "dim_pages", "fct_sessions", "fct_events"]
@@ -112,6 +113,21 @@ class WarehouseTables(Tables):
     def fct_sessions(self) -> DataFrame:
         return self._t("fct_sessions")
 
+    def fct_sessions_in(self, start: str, end: str) -> DataFrame:
+        """Facts of a range of days: partitions outside it are not read."""
+        return self.fct_sessions.where(F.col("date_id").between(int(start.replace("-", "")), int(end.replace("-", ""))))
+
+    @cached_property
+    def latest_day(self) -> Column:
+        """The last session date from the names of the stored partitions; no row is read if they are days."""
+        names = Folder(self.spark, self.root).names("raw_ga4_sessions")
+        last = max((n for n in names if "=" in n and not n.endswith("__HIVE_DEFAULT_PARTITION__")), default="=")
+        column, _, value = last.partition("=")
+        if column == "session_date":
+            return F.lit(value).cast("date")
+        raw = self.spark.read.parquet(os.path.join(self.root, "raw_ga4_sessions"))
+        return (raw.where(F.col(column) == value) if column else raw).select(F.max("session_date")).scalar()
+
     @cached_property
     def fct_events(self) -> DataFrame:
         return self._t("fct_events")
