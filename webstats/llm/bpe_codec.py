@@ -38,11 +38,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-KEPT_CHUNKS = 150_000       # results of chunks, and of pieces, per generation of a task's tables: bounds memory, never the input
-KEPT_PIECES = 150_000
-LEARNED = 20_000            # pieces proposed and verified at a time
+KEPT_CHUNKS = 60_000        # results of chunks, and of pieces, per generation of a task's tables: bounds memory, never the input
+KEPT_PIECES = 60_000
+PART_ROWS = 500             # rows handled at a time
+LEARNED = 5_000             # pieces proposed and verified at a time
 LONG_PIECE = 64             # letters above which a piece is merged by itself
-BATCH_BYTES = 2_000_000     # UTF-8 bytes handled at a time
+BATCH_BYTES = 1_000_000     # UTF-8 bytes handled at a time
 NEVER = np.int64(1) << 40
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 
@@ -363,27 +364,24 @@ def _mapped(df: DataFrame, spec, read: str, fields: list[T.StructField], work) -
         import pyarrow as pa
 
         codec = None
-        for batch in batches:
-            codec = codec or Codec(spec.value)
-            columns = work(codec, batch.column(read))
-            arrays = [batch.column(c) for c in keep] + columns
-            yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
+        for whole in batches:
+            # a part at a time goes out, so that the results of a batch are never held together
+            for at in range(0, whole.num_rows, PART_ROWS):
+                batch = whole.slice(at, PART_ROWS)
+                codec = codec or Codec(spec.value)
+                arrays = [batch.column(c) for c in keep] + work(codec, batch.column(read))
+                yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
 
     return df.mapInArrow(run, schema)
 
 
-def _slices(column, limit: int = 2_000) -> Iterator:
-    for at in range(0, len(column), limit):
-        yield column.slice(at, limit)
-
-
 def bpe_encode(df: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
     """``df`` with ``n_tokens`` (long) and ``ids`` (packed little-endian 32-bit ids) of its ``text`` column."""
 
     def work(codec: Codec, column) -> list:
         import pyarrow as pa
 
-        ids = [x for part in _slices(column) for x in codec.encode([t or "" for t in part.to_pylist()])]
+        ids = codec.encode([t or "" for t in column.to_pylist()])
         return [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
 
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
@@ -396,7 +394,7 @@ def bpe_decode(df: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
     def work(codec: Codec, column) -> list:
         import pyarrow as pa
 
-        return [pa.array([t for part in _slices(column) for t in codec.decode([b or b"" for b in part.to_pylist()])], pa.string())]
+        return [pa.array(codec.decode([b or b"" for b in column.to_pylist()]), pa.string())]
 
     return _mapped(df, _shared(df.sparkSession, vocabulary), ids, [T.StructField("decoded", T.StringType())], work)
 
