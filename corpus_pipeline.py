@@ -47,8 +47,14 @@ def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     each of their texts stays once.
     """
     classes = link_classes(docs).where(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
-    kept = docs.join(classes, "doc_id").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()).dropDuplicates(["text"]))
+    kept = docs.join(classes, "doc_id", "left_semi").select(*docs.columns)
+    # only ids that repeat have texts to compare: all others pass without a sort of texts
+    many = stored(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "pipeline-repeated")
+    if many.where("doc_id IS NOT NULL").limit(1).count():
+        again = kept.join(many, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+        kept = kept.join(many, "doc_id", "left_anti").unionByName(again)
+    nameless = docs.where(F.col("doc_id").isNull())
+    return kept.unionByName(nameless.dropDuplicates(["text"])) if nameless.limit(1).count() else kept
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
