@@ -2,15 +2,16 @@
 
 The reference declares ``dim_pages``, ``fct_sessions`` and ``fct_events`` but
 never fills them; they are built here from the raw tables. Surrogate keys are
-deterministic hashes of the natural key (``xxhash64``), never sequence
-numbers, so a re-run or a retried task yields the same keys.
+deterministic hashes of the natural key (``xxhash64``), so a re-run or a retried
+task yields the same keys; the stored layer replaces the hashed page keys by the
+numbers of a dictionary (``pagekeys``).
 """
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webstats.functions.web import date_id, iso_dow, url_parts
@@ -79,18 +80,27 @@ def build_dim_pages(t) -> DataFrame:
                     "is_landing_page", "word_count", "first_seen", "last_seen"))
 
 
-def build_fct_sessions(g: DataFrame) -> DataFrame:
+def _page_id(rows: DataFrame, url: str, keys) -> tuple[DataFrame, Column]:
+    """Rows and the expression of their page key: of the dictionary ``keys`` if there is one, else a hash of the URL."""
+    if keys is None:
+        return rows, F.when(F.col(url).isNotNull(), F.xxhash64(url))
+    return keys.attach(rows, url), F.col("page_id")
+
+
+def build_fct_sessions(g: DataFrame, keys=None) -> DataFrame:
     """I-13: GA4 rows with date and page keys.
 
-    The page key is a hash of the landing URL, the same expression that makes
-    ``dim_pages.page_id``, so no join to the dimension is needed: every
-    non-NULL landing page is a ``dim_pages`` row by construction.
+    Without a dictionary (``pagekeys.PageKeys``) the page key is a hash of the
+    landing URL, the same expression that makes ``dim_pages.page_id``, so no
+    join to the dimension is needed: every non-NULL landing page is a
+    ``dim_pages`` row by construction.
     """
+    g, page_id = _page_id(g, "landing_page", keys)
     return g.select(
         F.xxhash64("session_id", "session_date", "user_pseudo_id").alias("session_key"),
         "session_id", "user_pseudo_id",
         date_id("session_date").alias("date_id"),
-        F.when(F.col("landing_page").isNotNull(), F.xxhash64("landing_page")).alias("page_id"),
+        page_id.alias("page_id"),
         "channel_grouping", "source", "medium", F.lit(None).cast("string").alias("campaign"),
         "country", "device_category",
         (F.col("new_users") > 0).alias("is_new_user"),
@@ -100,15 +110,15 @@ def build_fct_sessions(g: DataFrame) -> DataFrame:
     )
 
 
-def build_fct_events(t) -> DataFrame:
-    """I-14: clickstream rows with date and page keys (hash of the page URL)."""
-    c = t.clicks
+def build_fct_events(t, keys=None) -> DataFrame:
+    """I-14: clickstream rows with date and page keys (as in ``build_fct_sessions``)."""
+    c, page_id = _page_id(t.clicks, "page_url", keys)
     return c.select(
         F.xxhash64("event_time", "session_id", "page_url", "event_name").alias("event_key"),
         "event_time",
         date_id(F.col("event_time").cast("date")).alias("date_id"),
         "session_id", "user_pseudo_id",
-        F.when(F.col("page_url").isNotNull(), F.xxhash64("page_url")).alias("page_id"),
+        page_id.alias("page_id"),
         "event_name", "scroll_depth_pct",
         F.lit(None).cast("decimal(12,2)").alias("event_value"),
         "device_category",

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from webstats.operators.pagekeys import keyed_pages, page_keys
 from webstats.plans.registry import register
 from webstats.plans.views import VIEWS
+from webstats.sources.warehouse import WarehouseTables
 
 for _name, _fn in VIEWS.items():
     register(_name, _fn)
@@ -18,8 +20,10 @@ def _dim_dates(t):
 
 @register("dim_pages")
 def _dim_pages(t):
-    # the surrogate key is a hash; leave it out of the comparable result
-    return t.dim_pages.drop("page_id")
+    return t.dim_pages if isinstance(t, WarehouseTables) else keyed_pages(t)
+
+
+register("page_keys", page_keys)
 
 
 def _with_page(t, fact, key):

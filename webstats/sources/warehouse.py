@@ -19,6 +19,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webstats.operators.dims import build_fct_events, build_fct_sessions
+from webstats.operators.pagekeys import PageKeys
 from webstats.schemas import PARTITION_BY, conform
 from webstats.sources.adapters import Tables
 from webstats.sources.files import Folder
@@ -27,10 +29,19 @@ LAYER = ["raw_ga4_sessions", "raw_server_logs", "raw_clickstream_events", "raw_s
          "dim_dates", "dim_pages", "fct_sessions", "fct_events"]
 
 
-def _source(t: Tables, name: str) -> DataFrame:
+#: tables that carry a page key
+KEYED = {"dim_pages", "fct_sessions", "fct_events"}
+
+
+def _source(t: Tables, name: str, keys: PageKeys | None) -> DataFrame:
+    if name == "dim_pages":
+        return keys.attach(t.dim_pages, "url")
+    if name == "fct_sessions":
+        return build_fct_sessions(t.ga4, keys)
+    if name == "fct_events":
+        return build_fct_events(t, keys)
     return {"raw_ga4_sessions": t.ga4, "raw_server_logs": t.logs, "raw_clickstream_events": t.clicks,
-            "raw_scrape_pages": t.scrape, "dim_dates": t.dim_dates, "dim_pages": t.dim_pages,
-            "fct_sessions": t.fct_sessions, "fct_events": t.fct_events}[name]
+            "raw_scrape_pages": t.scrape, "dim_dates": t.dim_dates}[name]
 
 
 _DATE_OF = {"raw_ga4_sessions": "session_date", "raw_server_logs": "log_time",
@@ -52,9 +63,16 @@ def materialize(t: Tables, root: str, tables=LAYER, grain: str = "day") -> str:
     month for small data, where day directories would hold a handful of rows.
     Rows are sorted by day inside each partition either way, so Parquet
     row-group statistics let a day filter skip the rest of a month.
+
+    Page keys are those of the dictionary in ``page_keys`` beside the tables;
+    a later load of the same root keeps the numbers given before.
     """
+    keys = None
+    if KEYED & set(tables):
+        keys = PageKeys(t.spark, os.path.join(root, "page_keys"))
+        keys.add(t.dim_pages.select("url"))
     for name in tables:
-        df = conform(_source(t, name), name)
+        df = conform(_source(t, name, keys), name)
         part = PARTITION_BY.get(name)
         if part:
             day = _day(df, name)
