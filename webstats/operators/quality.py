@@ -8,6 +8,7 @@ tables so one schema fits every table and check.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -83,101 +84,130 @@ def _report_rows(rows: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
 
 
-def _one(df: DataFrame, section: str, items: list[tuple]) -> DataFrame:
-    """One-row aggregate -> rows (section, item, count_value | num_value | text_value)."""
-    structs = []
-    for item, kind, col in items:
-        structs.append(F.struct(
-            F.lit(section).alias("section"), F.lit(item).alias("item"), F.lit(None).cast("int").alias("rank"),
-            (col.cast("long") if kind == "count" else F.lit(None).cast("long")).alias("count_value"),
-            (col.cast("double") if kind == "num" else F.lit(None).cast("double")).alias("num_value"),
-            (col.cast("string") if kind == "text" else F.lit(None).cast("string")).alias("text_value")))
-    return df.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+def _item(section: str, item: str, kind: str, col: Column) -> Column:
+    """One report row (section, item, rank, count_value | num_value | text_value) as a struct."""
+    return F.struct(
+        F.lit(section).alias("section"), F.lit(item).alias("item"), F.lit(None).cast("int").alias("rank"),
+        (col.cast("long") if kind == "count" else F.lit(None).cast("long")).alias("count_value"),
+        (col.cast("double") if kind == "num" else F.lit(None).cast("double")).alias("num_value"),
+        (col.cast("string") if kind == "text" else F.lit(None).cast("string")).alias("text_value"))
 
 
-def _ranked(df: DataFrame, section: str, item: Column, count: Column, order: list[Column], n: int | None,
-            num: Column | None = None) -> DataFrame:
-    """Grouped rows ranked by ``order``.
+def _ranked(df: DataFrame, section: str, item: Column, count: Column, order: list[Column], n: int) -> DataFrame:
+    """The top ``n`` rows by ``order``, numbered (per-partition top-k + merge: the window only ever sees n rows)."""
+    return df.orderBy(*order).limit(n).select(
+        F.lit(section).alias("section"), item.cast("string").alias("item"),
+        F.row_number().over(Window.orderBy(*order)).cast("int").alias("rank"), count.cast("long").alias("count_value"),
+        F.lit(None).cast("double").alias("num_value"), F.lit(None).cast("string").alias("text_value"))
 
-    With ``n`` the top n rows are taken first (per-partition top-k + merge), so
-    the numbering window only ever sees n rows, however many groups exist;
-    without ``n`` the frame is a small dimension (status codes, event names).
+
+@dataclass(frozen=True)
+class Ranking:
+    """Values of ``column`` as a section of a report: the first ``top`` by measure (None: all values).
+
+    ``by_value`` orders by the value alone; ``share`` adds each value's percentage of the measure.
     """
-    if n is not None:
-        df = df.orderBy(*order).limit(n)
-    g = df.select(item.cast("string").alias("item"), count.cast("long").alias("count_value"),
-                  (num if num is not None else F.lit(None)).cast("double").alias("num_value"),
-                  F.row_number().over(Window.orderBy(*order)).cast("int").alias("rank"))
-    if n is not None:
-        g = g.where(F.col("rank") <= n)
-    return g.select(F.lit(section).alias("section"), "item", "rank", "count_value", "num_value",
-                    F.lit(None).cast("string").alias("text_value"))
+    section: str
+    column: str
+    top: int | None = None
+    by_value: bool = False
+    share: bool = False
+
 
+#: parts in which the top values are looked for before they meet
+TOP_PARTS = 64
 
-def _nulls(df: DataFrame, cols: list[str]) -> DataFrame:
-    return _one(df.agg(*[count_if(F.col(c).isNull()).alias(c) for c in cols]), "nulls",
-                [(c, "count", F.col(c)) for c in cols])
+
+def profile(df: DataFrame, measure: Column, totals: dict[str, Column], rankings: list[Ranking],
+            items: list[tuple], nulls: list[str]) -> DataFrame:
+    """A whole table report from one scan.
+
+    Grouping sets give the totals (the empty set) and the measure per value of each ranked column in one aggregate,
+    combined map-side. ``items`` are the report rows made of ``totals`` and of ``_rows``; ``nulls`` the columns whose
+    NULLs are counted. A top-n is taken in parts first, so no task sees all values of a column; a ranking without
+    ``top`` is for columns of few values. An empty table gives zero counts.
+    """
+    columns = [r.column for r in rankings]
+    totals = totals | {"_rows": F.count(F.lit(1))} | {f"_null_{c}": count_if(F.col(c).isNull()) for c in nulls}
+    sets = [[]] + [[F.col(c)] for c in columns]
+    per = df.groupingSets(sets, *[F.col(c) for c in columns]).agg(
+        F.grouping_id().alias("_set"), measure.alias("_m"), *[c.alias(n) for n, c in totals.items()])
+    whole = (1 << len(columns)) - 1                 # grouping_id: a bit for each column that is left out
+    at = {whole ^ (1 << (len(columns) - 1 - i)): r for i, r in enumerate(rankings)}
+
+    def of(value):
+        """By the row's ranking: ``value(ranking)``."""
+        return reduce(lambda c, kv: F.when(F.col("_set") == kv[0], value(kv[1])).otherwise(c), at.items(), F.lit(None))
+    values = per.select("_set", "_m", *totals, F.coalesce(*[F.col(c).cast("string") for c in columns]).alias("item"),
+                        F.coalesce(*[F.when(F.col("_set") == k, F.hash(r.column) % TOP_PARTS) for k, r in at.items()],
+                                   F.lit(0)).alias("_part"),
+                        # numbers are ordered as numbers where the value alone orders
+                        F.coalesce(*[F.when(F.col("_set") == k, F.col(r.column).cast("double"))
+                                     for k, r in at.items() if r.by_value], F.lit(None).cast("double")).alias("_number"))
+    order = [of(lambda r: F.lit(None).cast("double") if r.by_value else F.col("_m").cast("double")).desc_nulls_last(),
+             F.col("_number").asc_nulls_last(), F.col("item").asc_nulls_last()]
+    top = of(lambda r: F.lit(r.top))
+    part = F.row_number().over(Window.partitionBy("_set", "_part").orderBy(*order))
+    best = values.withColumn("rank", part).where(top.isNull() | (F.col("rank") <= top))
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("_set").orderBy(*order)).cast("int"))
+    best = best.where(top.isNull() | (F.col("rank") <= top)).withColumn("_sum", F.sum("_m").over(Window.partitionBy("_set")))
+
+    # the row of totals that stands for a table without rows
+    blank = df.sparkSession.range(1).select(F.lit(True).alias("_blank"), F.lit(whole).alias("_set"), *[
+        F.lit(0 if n == "_rows" or n.startswith("_null_") else None).cast(per.schema[n].dataType).alias(n) for n in totals])
+    rows = best.withColumn("_blank", F.lit(False)).unionByName(
+        blank.withColumn("_set", F.col("_set").cast(best.schema["_set"].dataType)), allowMissingColumns=True)
+    rows = rows.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy())).where(~F.col("_blank") | (F.col("_n") == 1))
+    fixed = F.array(*[_item(*i) for i in items], *[_item("nulls", c, "count", F.col(f"_null_{c}")) for c in nulls])
+    ranked = F.struct(
+        of(lambda r: F.lit(r.section)).alias("section"), F.col("item"), F.col("rank"), F.col("_m").cast("long").alias("count_value"),
+        of(lambda r: pct(F.col("_m"), F.col("_sum"), 1) if r.share else F.lit(None)).cast("double").alias("num_value"),
+        F.lit(None).cast("string").alias("text_value"))
+    return rows.select(F.explode(F.when(F.col("_set") == whole, fixed).otherwise(F.array(ranked))).alias("r")).select("r.*")
 
 
 def verify_ga4(t) -> DataFrame:
     """DQ-02."""
-    g = t.sessions
-    summary = _one(g.agg(F.count(F.lit(1)).alias("n"), F.min("session_date").alias("lo"),
-                         F.max("session_date").alias("hi")), "summary",
-                   [("total_rows", "count", F.col("n")), ("min_date", "text", F.col("lo")),
-                    ("max_date", "text", F.col("hi"))])
-    ch = g.groupBy("channel_grouping").agg(sum_long("sessions").alias("s"))
-    top = _ranked(ch, "top_channels", F.col("channel_grouping"), F.col("s"),
-                  [F.col("s").desc(), F.col("channel_grouping").asc_nulls_last()], 5)
-    nulls = _nulls(g, ["session_date", "source", "medium", "channel_grouping", "sessions", "pageviews"])
-    return _report_rows([summary, top, nulls])
+    return profile(t.sessions, sum_long("sessions"), {"_lo": F.min("session_date"), "_hi": F.max("session_date")},
+                   [Ranking("top_channels", "channel_grouping", 5)],
+                   [("summary", "total_rows", "count", F.col("_rows")), ("summary", "min_date", "text", F.col("_lo")),
+                    ("summary", "max_date", "text", F.col("_hi"))],
+                   ["session_date", "source", "medium", "channel_grouping", "sessions", "pageviews"])
 
 
 def verify_server_logs(t) -> DataFrame:
     """DQ-03."""
-    lg = t.logs
-    summary = _one(lg.agg(F.count(F.lit(1)).alias("n"), F.min("log_time").cast("date").alias("lo"),
-                          F.max("log_time").cast("date").alias("hi")), "summary",
-                   [("total_rows", "count", F.col("n")), ("min_date", "text", F.col("lo")),
-                    ("max_date", "text", F.col("hi"))])
-    u = lg.groupBy("url").agg(F.count(F.lit(1)).alias("c"))
-    top = _ranked(u, "top_urls", F.col("url"), F.col("c"), [F.col("c").desc(), F.col("url").asc_nulls_last()], 5)
-    s = lg.groupBy("status_code").agg(F.count(F.lit(1)).alias("c"))
-    status = _ranked(s, "status_codes", F.col("status_code"), F.col("c"), [F.col("status_code").asc_nulls_last()],
-                     None)
-    nulls = _nulls(lg, ["log_time", "ip_address", "method", "url", "status_code"])
-    return _report_rows([summary, top, status, nulls])
+    return profile(t.logs, F.count(F.lit(1)), {"_lo": F.min("log_time"), "_hi": F.max("log_time")},
+                   [Ranking("top_urls", "url", 5), Ranking("status_codes", "status_code", by_value=True)],
+                   [("summary", "total_rows", "count", F.col("_rows")),
+                    ("summary", "min_date", "text", F.col("_lo").cast("date")),
+                    ("summary", "max_date", "text", F.col("_hi").cast("date"))],
+                   ["log_time", "ip_address", "method", "url", "status_code"])
 
 
 def verify_clickstream(t) -> DataFrame:
     """DQ-04 (the scroll statistics cover every non-NULL depth, as the reference's check does)."""
-    c = t.clicks
-    e = c.groupBy("event_name").agg(F.count(F.lit(1)).alias("cnt"))
-    events = _ranked(e, "events", F.col("event_name"), F.col("cnt"),
-                     [F.col("cnt").desc(), F.col("event_name").asc_nulls_last()], None,
-                     num=pct(F.col("cnt"), F.sum("cnt").over(Window.partitionBy()), 1))
-    p = c.groupBy("page_url").agg(F.count(F.lit(1)).alias("cnt"))
-    pages = _ranked(p, "top_pages", F.col("page_url"), F.col("cnt"),
-                    [F.col("cnt").desc(), F.col("page_url").asc_nulls_last()], 5)
     sd = F.col("scroll_depth_pct")
-    scroll = _one(c.where(sd.isNotNull()).agg(F.min(sd).alias("lo"), F.max(sd).alias("hi"),
-                                              pg_round(F.avg(sd), 1).alias("avg")), "scroll",
-                  [("min_pct", "num", F.col("lo")), ("max_pct", "num", F.col("hi")), ("avg_pct", "num", F.col("avg"))])
-    total = _one(c.agg(F.count(F.lit(1)).alias("n")), "summary", [("total_rows", "count", F.col("n"))])
-    nulls = _nulls(c, ["event_time", "session_id", "event_name", "page_url"])
-    return _report_rows([total, events, pages, scroll, nulls])
+    return profile(t.clicks, F.count(F.lit(1)), {"_lo": F.min(sd), "_hi": F.max(sd), "_avg": pg_round(F.avg(sd), 1)},
+                   [Ranking("events", "event_name", share=True), Ranking("top_pages", "page_url", 5)],
+                   [("summary", "total_rows", "count", F.col("_rows")), ("scroll", "min_pct", "num", F.col("_lo")),
+                    ("scroll", "max_pct", "num", F.col("_hi")), ("scroll", "avg_pct", "num", F.col("_avg"))],
+                   ["event_time", "session_id", "event_name", "page_url"])
 
 
 def verify_scrape(t) -> DataFrame:
     """DQ-05."""
     s = t.scrape
     miss = (F.col("meta_description").isNull()) | (F.col("meta_description") == "")
-    summary = _one(s.agg(F.count(F.lit(1)).alias("n"), pg_round(F.avg("word_count"), 0).alias("avg"),
-                         F.min("word_count").alias("lo"), F.max("word_count").alias("hi"),
-                         count_if(miss).alias("miss")), "summary",
-                   [("total_rows", "count", F.col("n")), ("avg_word_count", "num", F.col("avg")),
-                    ("min_word_count", "count", F.col("lo")), ("max_word_count", "count", F.col("hi")),
-                    ("missing_meta", "count", F.col("miss"))])
+    needed = ["scraped_at", "url", "title", "word_count"]
+    one = s.agg(F.count(F.lit(1)).alias("n"), pg_round(F.avg("word_count"), 0).alias("avg"), F.min("word_count").alias("lo"),
+                F.max("word_count").alias("hi"), count_if(miss).alias("miss"),
+                *[count_if(F.col(c).isNull()).alias(f"null_{c}") for c in needed])
+    counts = [("summary", "total_rows", "count", F.col("n")), ("summary", "avg_word_count", "num", F.col("avg")),
+              ("summary", "min_word_count", "count", F.col("lo")), ("summary", "max_word_count", "count", F.col("hi")),
+              ("summary", "missing_meta", "count", F.col("miss"))]
+    counts += [("nulls", c, "count", F.col(f"null_{c}")) for c in needed]
+    summary = one.select(F.explode(F.array(*[_item(*c) for c in counts])).alias("r")).select("r.*")
     sample = (s.where(miss).select("url").orderBy(F.col("url").asc_nulls_last()).limit(5)
               .select(F.lit("missing_meta_sample").alias("section"), F.col("url").alias("item")))
     sample = sample.withColumn("rank", F.row_number().over(Window.orderBy(F.col("item").asc_nulls_last())).cast("int"))
@@ -185,8 +215,7 @@ def verify_scrape(t) -> DataFrame:
                                                       F.col("url").asc_nulls_last()).limit(5))
     longest = _ranked(longest, "longest_pages", F.col("url"), F.col("word_count"),
                       [F.col("word_count").desc_nulls_first(), F.col("url").asc_nulls_last()], 5)
-    nulls = _nulls(s, ["scraped_at", "url", "title", "word_count"])
-    return _report_rows([summary, sample, longest, nulls])
+    return _report_rows([summary, sample, longest])
 
 
 def table_summary(t) -> DataFrame:
