@@ -16,7 +16,8 @@ Defined results: a text that is null, empty or without letters is ``und`` with
 score 0, and so is every text when nothing could be learned; equal cosines go
 to the alphabetically first language; repeated rows are predicted alike; rows
 without a language are not learned from; an empty table gives an empty table;
-further columns are kept.  Whole texts are read, in blocks.
+further columns are kept.  Whole texts are read, in blocks of characters and slices of
+trigrams, so that neither a long text nor a large alphabet needs memory without bound.
 """
 
 from __future__ import annotations
@@ -30,13 +31,14 @@ from pyspark.sql import types as T
 
 DIMENSIONS = 1024
 SEED = 20_240
-BLOCK_CHARS = 1_000_000     # characters handled at a time
+BLOCK_CHARS = 1_000_000     # characters handled at a time, also of a longer text
 BLOCK_TEXTS = 400
+SLICE_GRAMS = 16_384        # distinct trigrams whose vectors are in memory at a time
 UNKNOWN = "und"
 
 
 class Trigrams:
-    """Counts letter trigrams of blocks of texts and gives their hypervectors."""
+    """Bundles the letter trigrams of blocks of texts."""
 
     def __init__(self, dimensions: int, seed: int):
         self.dimensions, self.seed = dimensions, seed
@@ -59,18 +61,32 @@ class Trigrams:
             self.vectors[letter] = draw * np.int8(2) - np.int8(1)
         return self.vectors[letter]
 
-    def count(self, texts: list[str], groups: np.ndarray, n_groups: int) -> tuple[np.ndarray, np.ndarray]:
-        """``(counts, vectors)``: trigrams counted per group of texts, and the hypervector of each trigram."""
-        lens = np.array([len(t) + 1 for t in texts], np.int64)
-        codes = np.frombuffer((" ".join(texts) + " ").encode("utf-32-le"), np.uint32)
-        letters = self._letters(codes)
-        owner = np.repeat(groups, lens)
-        keep = letters > 0
-        keep[1:] |= letters[:-1] > 0                    # runs of other characters become one blank
-        letters, owner = letters[keep], owner[keep]
-        letters = np.concatenate((np.zeros(1, np.uint32), letters))
-        if len(letters) < 3:
-            return np.zeros((n_groups, 0), np.float32), np.zeros((0, self.dimensions), np.float32)
+    def bundle(self, texts: list[str], groups: np.ndarray, n_groups: int) -> tuple[np.ndarray, np.ndarray]:
+        """``(counts, sums)``: trigrams per group of texts, and the sums of their hypervectors (whole numbers).
+
+        The characters pass in steps of a block, however long a text is; the last two letters go on to the next step.
+        """
+        joined = " ".join(texts) + " "
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        counts, sums = np.zeros(n_groups, np.int64), np.zeros((n_groups, self.dimensions))
+        before, owners = np.zeros(1, np.uint32), np.zeros(0, np.int64)
+        step = BLOCK_CHARS + BLOCK_TEXTS
+        for at in range(0, len(joined), step):
+            codes = np.frombuffer(joined[at:at + step].encode("utf-32-le", "surrogatepass"), np.uint32)
+            found = self._letters(codes)
+            keep = found > 0
+            keep[1:] |= found[:-1] > 0                  # runs of other characters become one blank
+            keep[0] |= before[-1] > 0
+            limits = np.clip(np.concatenate(([0], ends)), at, at + len(codes))
+            letters = np.concatenate((before, found[keep]))
+            owner = np.concatenate((owners, np.repeat(groups, np.diff(limits))[keep]))
+            if len(letters) >= 3:
+                self._add(letters, owner, counts, sums)
+            before, owners = letters[-2:], owner[-1:]
+        return counts, sums
+
+    def _add(self, letters: np.ndarray, owner: np.ndarray, counts: np.ndarray, sums: np.ndarray) -> None:
+        """Add the trigrams around every letter but the first and the last; ``owner[i]`` is the group of letter i + 1."""
         used = np.zeros(0x110000, bool)
         used[letters] = True
         alphabet = np.flatnonzero(used)
@@ -81,6 +97,7 @@ class Trigrams:
         middle = np.flatnonzero(letters[1:-1] > 0) + 1
         gram = (x[middle - 1] * m + x[middle]) * m + x[middle + 1]
         owner = owner[middle - 1]
+        counts += np.bincount(owner, minlength=len(counts))
         if m ** 3 <= 1 << 22:
             seen = np.zeros(m ** 3, bool)
             seen[gram] = True
@@ -90,10 +107,23 @@ class Trigrams:
             gram = place[gram]
         else:
             grams, gram = np.unique(gram, return_inverse=True)
-        counts = np.bincount(owner * len(grams) + gram, minlength=n_groups * len(grams)).reshape(n_groups, len(grams))
         basis = np.stack([self._vector(int(a)) for a in alphabet])
-        bound = np.roll(basis, 2, axis=1)[grams // (m * m)] * np.roll(basis, 1, axis=1)[grams // m % m] * basis[grams % m]
-        return counts.astype(np.float32), bound.astype(np.float32)
+        many = len(grams) > SLICE_GRAMS
+        if many:                                        # in order of their trigrams, each slice is one stretch
+            order = np.argsort(gram, kind="stable")
+            gram, owner = gram[order], owner[order]
+        for lo in range(0, len(grams), SLICE_GRAMS):
+            part = grams[lo:lo + SLICE_GRAMS]
+            g, o = gram, owner
+            if many:
+                i, j = np.searchsorted(gram, (lo, lo + len(part)))
+                g, o = gram[i:j] - lo, owner[i:j]
+            n = np.bincount(o * len(part) + g, minlength=len(counts) * len(part)).reshape(len(counts), len(part))
+            bound = np.roll(basis[part // (m * m)], 2, axis=1)
+            bound *= np.roll(basis[part // m % m], 1, axis=1)
+            bound *= basis[part % m]
+            # sums of a step stay below 2**24: whole numbers, exact in single precision
+            sums += n.astype(np.float32) @ bound.astype(np.float32)
 
 
 def _blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -123,9 +153,8 @@ def fit_profiles(df: DataFrame, text: str = "text", lang: str = "lang", dimensio
                 for a, b in _blocks(texts):
                     names = sorted(set(langs[a:b]))
                     at = {n: i for i, n in enumerate(names)}
-                    counts, vectors = tri.count(texts[a:b], np.array([at[x] for x in langs[a:b]], np.int64), len(names))
-                    total = np.rint(counts.astype(np.float64) @ vectors.astype(np.float64)).astype(np.int64)
-                    for n, v in zip(names, total):
+                    _, total = tri.bundle(texts[a:b], np.array([at[x] for x in langs[a:b]], np.int64), len(names))
+                    for n, v in zip(names, np.rint(total).astype(np.int64)):
                         sums[n] = sums.get(n, 0) + v
         if sums:
             names = list(sums)
@@ -145,7 +174,7 @@ def predict_language(df: DataFrame, profiles: dict[str, list[int]], text: str =
     """``df`` with ``lang_pred`` (string) and ``score`` (double), read from the text column alone."""
     names = list(profiles)
     proto = np.array([profiles[n] for n in names], np.float64).reshape(len(names), dimensions)
-    proto = (proto / np.maximum(np.linalg.norm(proto, axis=1, keepdims=True), 1e-12)).astype(np.float32)
+    proto = proto / np.maximum(np.linalg.norm(proto, axis=1, keepdims=True), 1e-12)
     new = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     kept = [f for f in df.schema.fields if f.name.lower() not in ("lang_pred", "score")]
     schema = T.StructType(kept + new)
@@ -159,10 +188,9 @@ def predict_language(df: DataFrame, profiles: dict[str, list[int]], text: str =
             for part in (batch.column(text).slice(i, 2_000) for i in range(0, batch.num_rows, 2_000)):
                 texts = [t or "" for t in part.to_pylist()]
                 for a, b in _blocks(texts):
-                    counts, vectors = tri.count(texts[a:b], np.arange(b - a), b - a)
-                    v = counts @ vectors
+                    counts, v = tri.bundle(texts[a:b], np.arange(b - a), b - a)
                     norm = np.linalg.norm(v, axis=1)
-                    sure = (counts.sum(axis=1) > 0) & (len(names) > 0)
+                    sure = (counts > 0) & (len(names) > 0)
                     if len(names):
                         cos = (v @ proto.T) / np.maximum(norm, 1e-12)[:, None]
                         best = cos.argmax(axis=1)
