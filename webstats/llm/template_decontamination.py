@@ -8,9 +8,11 @@ placeholders for names and once with the folded names themselves, for copies in
 other letter case; matches of one document and item that agree on the offset are
 one alignment.  An alignment counts when it covers ``LEAST_WORDS`` words in a
 row's worth of windows (or the whole item, if that is shorter) and the slots in
-its matched windows are consistent: equal names of the item stand for equal names
-in the document, and so do equal numbers of three or more characters.  Shorter
-numbers and units can be equal by chance, and stand for anything.
+its matched windows are consistent, one to one: equal names of the item stand for equal
+names in the document, different ones for different ones, and so do numbers of three or
+more characters.  Shorter numbers and units can be equal by chance, and stand for
+anything.  Slots that stand unchanged in ``LEAST_WORDS`` words in a row (or in the whole
+item) agree whatever stands elsewhere: a literal quote counts.
 
 The benchmark's windows are broadcast up to ``BROADCAST_ROWS`` rows, checked by
 counting; a larger benchmark is joined by shuffle.
@@ -103,8 +105,20 @@ def _consistent(a: Column, b: Column, offset: Column, starts: Column, window: in
         F.get(b, i)["token"].alias("kind"), F.get(b, i)["value"].alias("theirs"), F.get(a, i + offset).alias("own"))),
         lambda s: s["kind"].isin(NUMBER, NAME, UNIT))
     pairs = F.array_distinct(F.filter(slots, lambda s: (s["kind"] == NAME) | (s["kind"] == NUMBER) & (F.length(s["theirs"]) >= LONG_NUMBER)))
-    values = F.array_distinct(F.transform(pairs, lambda s: F.struct(s["kind"], s["theirs"])))
-    return F.struct((F.size(pairs) == F.size(values)).alias("consistent"), F.size(slots).alias("n_slots"))
+    values, images = (F.array_distinct(F.transform(pairs, lambda s: F.struct(s["kind"], s[side]))) for side in ("theirs", "own"))
+    one_to_one = (F.size(pairs) == F.size(values)) & (F.size(pairs) == F.size(images))
+    return F.struct(one_to_one.alias("consistent"), F.size(slots).alias("n_slots"))
+
+
+def _literal(a: Column, b: Column, offset: Column) -> Column:
+    """The most words in a row of the item that stand unchanged in the document, in one alignment."""
+    same = F.transform(b, lambda x, i: F.coalesce(x["value"] == F.get(a, i + offset), F.lit(False)))
+
+    def step(acc: Column, s: Column) -> Column:
+        run = F.when(s, acc["run"] + 1).otherwise(0)
+        return F.struct(run.alias("run"), F.greatest(acc["most"], run).alias("most"))
+
+    return F.aggregate(same, F.struct(F.lit(0).alias("run"), F.lit(0).alias("most")), step, lambda acc: acc["most"])
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str = "item_id",
@@ -130,10 +144,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
     theirs = items.select("item_id", F.arrays_zip(template_tokens(whole_text("text")).alias("token"),
                                                   slot_values(whole_text("text")).alias("value")).alias("b"))
     both = own.join(places, "doc_id").join(theirs, "item_id")
-    checked = F.transform("places", lambda p: F.struct(
+    slots = F.transform("places", lambda p: F.struct(
         p["n_windows"].alias("n_windows"), (-p["offset"]).alias("back"),
         _consistent(F.col("a"), F.col("b"), p["offset"], p["starts"], window).alias("slots")))
-    best = both.select("doc_id", "item_id", "windows", F.array_max(F.filter(checked, lambda p: p["slots"]["consistent"])).alias("x"))
+    checked = F.transform(slots, lambda p: F.struct(p["slots"]["consistent"].alias("consistent"), *[p[c].alias(c) for c in (
+        "n_windows", "back", "slots")]))
+    quote = F.least(F.size("b"), F.lit(least_words))
+    best = both.select("doc_id", "item_id", "windows", F.array_max(F.filter(checked, lambda p: p["consistent"] | (
+        _literal(F.col("a"), F.col("b"), -p["back"]) >= quote))).alias("x"))
     return (best.where(F.col("x").isNotNull()).groupBy("doc_id", "item_id", "windows").agg(F.max("x").alias("x"))
             .select("doc_id", "item_id", (-F.col("x.back")).alias("offset"), "x.n_windows",
                     (F.col("x.n_windows") / F.col("windows")).alias("coverage"), F.col("x.slots.n_slots").alias("n_slots")))
