@@ -38,6 +38,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from webstats.llm.common import give_back
+
 KEPT_CHUNKS = 60_000        # results of chunks, and of pieces, per generation of a task's tables: bounds memory, never the input
 KEPT_PIECES = 60_000
 PART_ROWS = 500             # rows handled at a time
@@ -371,6 +373,8 @@ def _mapped(df: DataFrame, spec, read: str, fields: list[T.StructField], work) -
                 codec = codec or Codec(spec.value)
                 arrays = [batch.column(c) for c in keep] + work(codec, batch.column(read))
                 yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
+        codec = whole = batch = arrays = None
+        give_back()
 
     return df.mapInArrow(run, schema)
 

@@ -32,6 +32,20 @@ def whole_text(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def give_back() -> None:
+    """Return a Python worker's freed memory to the system: workers live on, beside those of the next stages."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim:
+        trim(0)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """The session's shuffle partition count: grows with the cluster's settings, not with constants here."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
