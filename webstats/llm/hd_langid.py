@@ -29,11 +29,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from webstats.llm.common import give_back
+
 DIMENSIONS = 1024
 SEED = 20_240
 BLOCK_CHARS = 1_000_000     # characters handled at a time, also of a longer text
 BLOCK_TEXTS = 400
-SLICE_GRAMS = 16_384        # distinct trigrams whose vectors are in memory at a time
+SLICE_GRAMS = 8_192         # distinct trigrams whose vectors are in memory at a time
 UNKNOWN = "und"
 
 
@@ -201,6 +203,8 @@ def predict_language(df: DataFrame, profiles: dict[str, list[int]], text: str =
             yield pa.RecordBatch.from_arrays(
                 [batch.column(f.name) for f in kept] + [pa.array(label, pa.string()), pa.array(score, pa.float64())],
                 names=schema.names)
+        tri = batch = None
+        give_back()
 
     return df.withColumn(text, F.col(text).cast("string")).mapInArrow(predict, schema)
 
