@@ -33,9 +33,10 @@ from webstats.llm.common import give_back
 
 DIMENSIONS = 1024
 SEED = 20_240
-BLOCK_CHARS = 1_000_000     # characters handled at a time, also of a longer text
+BLOCK_CHARS = 400_000       # characters handled at a time, also of a longer text
 BLOCK_TEXTS = 400
-SLICE_GRAMS = 8_192         # distinct trigrams whose vectors are in memory at a time
+PART_ROWS = 1_000           # rows whose texts are Python strings at a time, and that go out together
+SLICE_GRAMS = 2_048         # distinct trigrams whose vectors are in memory at a time
 UNKNOWN = "und"
 
 
@@ -150,7 +151,7 @@ def fit_profiles(df: DataFrame, text: str = "text", lang: str = "lang", dimensio
 
         tri, sums = Trigrams(dimensions, seed), {}
         for batch in batches:
-            for part in (batch.slice(i, 2_000) for i in range(0, batch.num_rows, 2_000)):
+            for part in (batch.slice(i, PART_ROWS) for i in range(0, batch.num_rows, PART_ROWS)):
                 texts, langs = part.column(0).to_pylist(), part.column(1).to_pylist()
                 for a, b in _blocks(texts):
                     names = sorted(set(langs[a:b]))
@@ -163,6 +164,8 @@ def fit_profiles(df: DataFrame, text: str = "text", lang: str = "lang", dimensio
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.string()), pa.array([sums[n].tolist() for n in names], pa.list_(pa.int64()))],
                 names=["lang", "v"])
+        tri = batch = part = texts = None
+        give_back()
 
     parts = rows.mapInArrow(learn, "lang string, v array<bigint>")
     found = (parts.select("lang", F.posexplode("v").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
@@ -185,10 +188,11 @@ def predict_language(df: DataFrame, profiles: dict[str, list[int]], text: str =
         import pyarrow as pa
 
         tri = Trigrams(dimensions, seed)
-        for batch in batches:
-            label, score = [], []
-            for part in (batch.column(text).slice(i, 2_000) for i in range(0, batch.num_rows, 2_000)):
-                texts = [t or "" for t in part.to_pylist()]
+        for whole in batches:
+            # a part at a time goes out, so that the results of a batch are never held together
+            for batch in (whole.slice(i, PART_ROWS) for i in range(0, whole.num_rows, PART_ROWS)):
+                label, score = [], []
+                texts = [t or "" for t in batch.column(text).to_pylist()]
                 for a, b in _blocks(texts):
                     counts, v = tri.bundle(texts[a:b], np.arange(b - a), b - a)
                     norm = np.linalg.norm(v, axis=1)
@@ -200,10 +204,10 @@ def predict_language(df: DataFrame, profiles: dict[str, list[int]], text: str =
                     for i in range(b - a):
                         label.append(names[best[i]] if sure[i] else UNKNOWN)
                         score.append(float(top[i]) if sure[i] else 0.0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(f.name) for f in kept] + [pa.array(label, pa.string()), pa.array(score, pa.float64())],
-                names=schema.names)
-        tri = batch = None
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(f.name) for f in kept] + [pa.array(label, pa.string()), pa.array(score, pa.float64())],
+                    names=schema.names)
+        tri = whole = batch = texts = v = None
         give_back()
 
     return df.withColumn(text, F.col(text).cast("string")).mapInArrow(predict, schema)
